@@ -8,16 +8,18 @@ functions expect (single blanks, none at the ends).
 
 from __future__ import annotations
 
+import string
 import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the characters that count as white space between tokens.
-BLANK = (
-    r" \t-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+# Fixed value: the characters, other than the blank, that count as white space between tokens.
+ODD_BLANK = (
+    r"\t-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+BLANK = f" {ODD_BLANK}"
 # Fixed value: characters of a word.
 WORD = r"\p{L}\p{N}_"
 # Fixed value: blocks that hold pictographs, and the marks that join or tint them.
@@ -31,8 +33,16 @@ USER_TOKEN = "user"
 
 
 def squash(text: Column) -> Column:
-    """Collapse every run of white space to one blank and trim the ends."""
-    return F.trim(F.regexp_replace(text, f"[{BLANK}]+", " "))
+    """Collapse every run of white space to one blank and trim the ends.
+
+    The pattern passes over single blanks, which are most of the runs.
+    """
+    return F.trim(F.regexp_replace(text, f"[{ODD_BLANK}][{BLANK}]*| [{BLANK}]+", " "))
+
+
+def single_blanks(text: Column) -> Column:
+    """``squash`` for a text whose only white space is the blank."""
+    return F.trim(F.regexp_replace(text, "  +", " "))
 
 
 def tokens(text: Column) -> Column:
@@ -59,6 +69,11 @@ def user_names(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("(?:^| )(@[^ ]*)"), 1)
 
 
+def without_urls_and_hashtags(text: Column) -> Column:
+    """Both removals in one pass; a token is a link or a tag, never both."""
+    return F.trim(F.regexp_replace(text, "(?:^| )(?:http|#)[^ ]*", ""))
+
+
 def with_user_token(text: Column) -> Column:
     """Replace every token that starts with ``@`` by one neutral token."""
     return F.regexp_replace(text, "(^| )@[^ ]*", f"$1{USER_TOKEN}")
@@ -70,13 +85,16 @@ def symbol_count(text: Column, symbol: str) -> Column:
 
 
 def without_symbols(text: Column, symbols: list[str]) -> Column:
-    return F.translate(text, "".join(symbols), "")
+    for symbol in symbols:
+        text = F.replace(text, F.lit(symbol), F.lit(""))
+    return text
 
 
 def capital_share(text: Column) -> Column:
     """Share of capitals among the ASCII letters, 0 for a text without letters."""
-    capitals = F.length(F.regexp_replace(text, "[^A-Z]", ""))
-    letters = F.length(F.regexp_replace(text, "[^A-Za-z]", ""))
+    size = F.length(text)
+    capitals = size - F.length(F.translate(text, string.ascii_uppercase, ""))
+    letters = size - F.length(F.translate(text, string.ascii_letters, ""))
     return F.coalesce(F.try_divide(capitals, letters), F.lit(0.0))
 
 

@@ -20,14 +20,13 @@ def stripped(df: DataFrame, symbols: list[str] | None = None) -> DataFrame:
     (lower case, before spelling and emoji); ``text`` becomes ``raw_text``."""
     symbols = SYMBOLS if symbols is None else symbols
     base = df.withColumnRenamed("text", "raw_text")
-    linkless = base.withColumn(
-        "_t", tx.without_urls(tx.squash(F.coalesce(F.col("raw_text"), F.lit(""))))
-    )
-    untagged = linkless.withColumn("hashtags", tx.hashtags(F.col("_t"))).withColumn(
-        "_t", tx.without_hashtags(F.col("_t"))
-    )
-    anonymous = untagged.withColumn("user_ids", tx.user_names(F.col("_t"))).withColumn(
-        "_t", tx.with_user_token(F.col("_t"))
+    squashed = base.withColumn("_t", tx.squash(F.coalesce(F.col("raw_text"), F.lit(""))))
+    anonymous = squashed.withColumns(
+        {
+            "hashtags": tx.hashtags(F.col("_t")),
+            "user_ids": tx.user_names(F.col("_t")),
+            "_t": tx.with_user_token(tx.without_urls_and_hashtags(F.col("_t"))),
+        }
     )
     counts = {count_column(s): tx.symbol_count(F.col("_t"), s) for s in symbols}
     counted = anonymous.withColumns(counts).withColumn(
@@ -35,7 +34,7 @@ def stripped(df: DataFrame, symbols: list[str] | None = None) -> DataFrame:
     )
     return counted.select(
         *base.columns,
-        tx.squash(F.lower("_t")).alias("cleaned_text"),
+        tx.single_blanks(F.lower("_t")).alias("cleaned_text"),
         "hashtags",
         "user_ids",
         tx.capital_share(F.col("_t")).alias("percent_capitals"),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import text as tx
 from quillspark.schemas import EXT_EMOTIONS
-from quillspark.session import stage
+from quillspark.session import packed, stage
 from quillspark.sizing import lookup
 
 
@@ -95,10 +95,11 @@ def fit_extended(training: DataFrame, max_iter: int = 1000, parallelism: int = 4
     data = stage(
         training.select(array_to_vector(F.col("vec").cast("array<double>")).alias("features"), *EXT_EMOTIONS),
         "ext-training",
-    ).cache()
+    )
     rows = data.count()
     if rows == 0:
         raise ValueError("no lexicon word has a vector")
+    data = packed(data, data.first()["features"].size * 8, rows).cache()
 
     def fit_one(emotion: str) -> tuple[str, tuple[list[float], float]]:
         estimator = LogisticRegression(
@@ -108,6 +109,7 @@ def fit_extended(training: DataFrame, max_iter: int = 1000, parallelism: int = 4
             elasticNetParam=0.0,
             standardization=False,
             maxIter=max_iter,
+            tol=1e-4,
         )
         model = estimator.fit(data)
         intercept = max(min(float(model.intercept), 700.0), -700.0)

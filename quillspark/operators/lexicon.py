@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quillspark.functions import text as tx
 from quillspark.schemas import EMOTIONS
 from quillspark.session import stage
-from quillspark.sizing import BROADCAST_BYTES, lookup, measured_bytes, salted, SALTS
+from quillspark.sizing import BROADCAST_BYTES, SALTS, Side, lookup, measured_bytes, salted
 
 # ---------------------------------------------------------------- tables
 
@@ -107,9 +107,10 @@ def phrase_scores(
     """
     phrases = stage(keyed_phrases(lexicon), "phrases")
     runs = phrases.where("single").select(F.col("key").alias("word"), "score")
+    runs = Side(runs, measured_bytes(runs))
     body = texts.select("id", F.coalesce(F.col(column), F.lit("")).alias("text"))
     units = tx.words(F.col("text"))
-    if not runs.where(~F.col("word").rlike(f"[{tx.WORD}]")).isEmpty():
+    if not runs.table.where(~F.col("word").rlike(f"[{tx.WORD}]")).isEmpty():
         units = F.concat(units, F.regexp_extract_all("text", F.lit(_INNER_GAP), 0))
     occurrences = body.select("id", F.explode(units).alias("word"))
     parts = [

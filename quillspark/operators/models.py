@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from quillspark.functions.labels import decode_target, encode_target
 from quillspark.operators.balance import weight_column
 from quillspark.schemas import LABELS, default_features
-from quillspark.session import stage
+from quillspark.session import packed, stage
 
 KINDS = ("baseline", "random_forest", "svm", "logistic_regression")
 MAX_DEPTH = 30  # the most Spark allows
@@ -74,7 +74,11 @@ def assemble(df: DataFrame, features: list[str], embeddings: list[str], out: str
 def training_table(df: DataFrame, spec: ModelSpec) -> DataFrame:
     """Vectors, labels and class, written once: fitting reads them many times."""
     wide = assemble(df, spec.features, spec.embeddings).withColumn("Target", encode_target(spec.labels))
-    return stage(wide.select("features", "Target", *spec.labels), "training")
+    table = stage(wide.select("features", "Target", *spec.labels), "training")
+    first = table.first()
+    if first is None:
+        raise ValueError("no training rows")
+    return packed(table, first["features"].size * 8, table.count())
 
 
 # ---------------------------------------------------------------- single estimators
@@ -108,6 +112,7 @@ def _logistic(params: dict, label: str, weight: str | None, rows: int, family: s
         elasticNetParam=0.0,
         standardization=False,
         maxIter=params["max_iter"],
+        tol=1e-4,
         **extra,
     )
 

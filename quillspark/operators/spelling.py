@@ -4,11 +4,12 @@ A word outside the dictionary becomes the most frequent dictionary word one edit
 away, else two edits away, else stays. An edit deletes, swaps two neighbours,
 replaces or inserts one letter.
 
-Each *distinct* unknown token is expanded once into its one-edit strings
-(``middle``). One edit is then an equi-join of ``middle`` with the dictionary. For
-two edits the dictionary is expanded too and reduced to the best word per
-``middle`` before the join, so each string meets at most one row however many
-words share it: no list of pairs is ever built and none is left out.
+Only *distinct* unknown tokens are looked at. One edit is an equi-join on a few
+keys per word: two words share a key exactly if they are one edit apart. Words
+left over meet the dictionary half-way: both sides are expanded into their
+one-edit strings. The dictionary side is reduced to the best word per key before
+either join, so a key meets at most one row however many words share it: no list
+of pairs is ever built and none is left out.
 """
 
 from __future__ import annotations
@@ -35,39 +36,68 @@ def build_dictionary(words: DataFrame, min_count: int) -> DataFrame:
     )
 
 
-def one_edit(word: Column, alphabet: str = ALPHABET) -> Column:
-    """All strings one edit away, as an array with repeats."""
-    letters = F.array(*[F.lit(c) for c in alphabet])
-    size = F.length(word)
-    cut = F.sequence(F.lit(0), size)
-    inner = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
-    pairs = F.when(size > 1, F.sequence(F.lit(0), size - 2)).otherwise(F.array().cast("array<int>"))
-
-    def head(i: Column) -> Column:
-        return F.substring(word, F.lit(1), i)
-
-    def tail(i: Column) -> Column:
-        return F.substring(word, i + 1, size)
-
-    deletes = F.transform(inner, lambda i: F.concat(head(i), tail(i + 1)))
-    swaps = F.transform(
-        pairs,
-        lambda i: F.concat(
-            head(i),
-            F.substring(word, i + 2, F.lit(1)),
-            F.substring(word, i + 1, F.lit(1)),
-            tail(i + 2),
-        ),
+def _positions(first: int, past_end: Column) -> Column:
+    """Whole numbers from ``first`` to ``past_end`` - 1, possibly none."""
+    none = F.array().cast("array<int>")
+    return F.when(past_end > first, F.sequence(F.lit(first), past_end - 1)).otherwise(none)
+
+
+def _head(word: Column, i: Column) -> Column:
+    return F.substring(word, F.lit(1), i)
+
+
+def _tail(word: Column, i: Column) -> Column:
+    return F.substring(word, i + 1, F.length(word))
+
+
+def deletions(word: Column) -> Column:
+    return F.transform(
+        _positions(0, F.length(word)), lambda i: F.concat(_head(word, i), _tail(word, i + 1))
     )
-    replaces = F.flatten(
+
+
+def swaps(word: Column) -> Column:
+    def swapped(i: Column) -> Column:
+        first, second = F.substring(word, i + 1, F.lit(1)), F.substring(word, i + 2, F.lit(1))
+        return F.concat(_head(word, i), second, first, _tail(word, i + 2))
+
+    return F.transform(_positions(0, F.length(word) - 1), swapped)
+
+
+def _put(word: Column, filler: Column, skip: int) -> Column:
+    """Strings with one of ``filler`` put at each position, over ``skip`` characters."""
+    return F.flatten(
         F.transform(
-            inner, lambda i: F.transform(letters, lambda c: F.concat(head(i), c, tail(i + 1)))
+            _positions(0, F.length(word) + 1 - skip),
+            lambda i: F.transform(filler, lambda c: F.concat(_head(word, i), c, _tail(word, i + skip))),
         )
     )
-    inserts = F.flatten(
-        F.transform(cut, lambda i: F.transform(letters, lambda c: F.concat(head(i), c, tail(i))))
+
+
+def one_edit(word: Column, alphabet: str = ALPHABET) -> Column:
+    """All strings one edit away, as an array without repeats."""
+    letters = F.array(*[F.lit(c) for c in alphabet])
+    return F.array_distinct(
+        F.concat(deletions(word), swaps(word), _put(word, letters, 1), _put(word, letters, 0))
+    )
+
+
+def _keys(word: Column, unknown: bool) -> Column:
+    """Keys that two words share exactly if one edit turns the first into the second.
+
+    ``=`` the unknown word loses or swaps letters to give the known one, ``+`` it is the
+    known one less a letter, ``?`` the two differ in the one letter left blank.
+    """
+    blanked = _put(word, F.array(F.lit("\x00")), 1)
+    exact = F.concat(deletions(word), swaps(word)) if unknown else F.array(word)
+    longer = F.array(word) if unknown else deletions(word)
+    return F.array_distinct(
+        F.concat(
+            F.transform(exact, lambda x: F.concat(F.lit("="), x)),
+            F.transform(longer, lambda x: F.concat(F.lit("+"), x)),
+            F.transform(blanked, lambda x: F.concat(F.lit("?"), x)),
+        )
     )
-    return F.concat(deletes, swaps, replaces, inserts)
 
 
 def unknown_tokens(tokens: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -83,41 +113,43 @@ def unknown_tokens(tokens: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
 
 
-def candidates(unknown: DataFrame, dictionary: DataFrame, alphabet: str | None = None) -> DataFrame:
-    """Per unknown word the best dictionary word of each tier that has one:
-    (word, tier, candidate, freq)."""
-    letters = alphabet or ALPHABET
+def _best(words: DataFrame, keys: Column, target_keys: Column, dictionary: DataFrame) -> DataFrame:
+    """(word, candidate, freq): the most frequent, then first, dictionary word sharing a key."""
     best = F.min_by("candidate", F.struct(-F.col("freq"), F.col("candidate"))).alias("candidate")
-    middles = unknown.select("word", F.explode(one_edit(F.col("word"), letters)).alias("middle"))
-    known = dictionary.select(F.col("word").alias("candidate"), "freq")
     reach = (
-        known.select(
-            F.explode(one_edit(F.col("candidate"), letters)).alias("middle"), "candidate", "freq"
-        )
-        .groupBy("middle")
+        dictionary.select(F.explode(target_keys).alias("key"), F.col("word").alias("candidate"), "freq")
+        .groupBy("key")
         .agg(best, F.max("freq").alias("freq"))
-        .withColumn("tier", F.lit(2))
-    )
-    exact = known.select(F.col("candidate").alias("middle"), "candidate", "freq").withColumn(
-        "tier", F.lit(1)
     )
-    targets = exact.unionByName(reach)
     return (
-        middles.join(targets, "middle")
-        .groupBy("word", "tier")
+        words.select("word", F.explode(keys).alias("key"))
+        .join(reach, "key")
+        .groupBy("word")
         .agg(best, F.max("freq").alias("freq"))
     )
 
 
-def corrections(unknown: DataFrame, dictionary: DataFrame, alphabet: str | None = None) -> DataFrame:
-    """(word, correction) for the unknown words that have a candidate; one edit beats two."""
+def candidates(unknown: DataFrame, dictionary: DataFrame, alphabet: str | None = None) -> DataFrame:
+    """(word, tier, candidate, freq) for the unknown words with a dictionary word in reach;
+    two edits are tried only where one edit finds nothing."""
+    word = F.col("word")
+    near = stage(_best(unknown, _keys(word, True), _keys(word, False), dictionary), "near")
+    rest = unknown.select("word").join(near.select("word"), "word", "left_anti")
+    edits = one_edit(word, alphabet or ALPHABET)
+    far = _best(rest, edits, edits, dictionary)
     return (
-        candidates(unknown, dictionary, alphabet)
-        .groupBy("word")
-        .agg(F.min_by("candidate", "tier").alias("correction"))
+        near.withColumn("tier", F.lit(1))
+        .unionByName(far.withColumn("tier", F.lit(2)))
+        .select("word", "tier", "candidate", "freq")
     )
 
 
+def corrections(unknown: DataFrame, dictionary: DataFrame, alphabet: str | None = None) -> DataFrame:
+    """(word, correction) for the unknown words that have a candidate."""
+    found = candidates(unknown, dictionary, alphabet)
+    return found.select("word", F.col("candidate").alias("correction"))
+
+
 def correct_texts(
     df: DataFrame, dictionary: DataFrame, column: str = "cleaned_text", alphabet: str | None = None
 ) -> DataFrame:
@@ -126,7 +158,8 @@ def correct_texts(
     placed = df.select(
         "id", F.posexplode(tx.tokens(tx.squash(F.coalesce(F.col(column), F.lit(""))))).alias("pos", "word")
     )
-    fixes = corrections(unknown_tokens(placed, dictionary), dictionary, alphabet)
+    unknown = stage(unknown_tokens(placed, dictionary), "unknown")
+    fixes = corrections(unknown, dictionary, alphabet)
     fixed = attach(placed, fixes, "word").select(
         "id", F.struct("pos", F.coalesce("correction", "word").alias("w")).alias("t")
     )

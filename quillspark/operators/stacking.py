@@ -24,7 +24,7 @@ from quillspark.operators.models import (
     training_table,
 )
 from quillspark.schemas import LABELS, default_features
-from quillspark.session import stage
+from quillspark.session import packed, stage
 
 ENSEMBLERS = ("ensembler_lr", "ensembler_dt")
 PREFIXES = {"SVM": "svm", "RF": "random_forest", "LR": "logistic_regression"}
@@ -70,14 +70,15 @@ class MarginCalibration:
 
 def fit_calibration(scored: DataFrame, classes: list[str]) -> MarginCalibration:
     """Fit the curves on rows with ``rawPrediction`` and the class index ``label``."""
-    margins = stage(scored.select(vector_to_array("rawPrediction").alias("m"), "label"), "margins").cache()
+    margins = stage(scored.select(vector_to_array("rawPrediction").alias("m"), "label"), "margins")
+    margins = packed(margins, 8 * len(classes), margins.count()).cache()
     slopes = []
     for i in range(len(classes)):
         one = margins.select(
             array_to_vector(F.array(F.col("m")[i])).alias("features"),
             (F.col("label") == i).cast("double").alias("label"),
         )
-        fitted = LogisticRegression(maxIter=100).fit(one)
+        fitted = LogisticRegression(maxIter=100, tol=1e-4).fit(one)
         slopes.append((float(fitted.coefficients[0]), max(min(float(fitted.intercept), 700.0), -700.0)))
     margins.unpersist()
     return MarginCalibration(classes, slopes)
@@ -188,10 +189,11 @@ def _fit_submodels(
 
 def _fit_ensembler(table: DataFrame, spec: StackSpec) -> PipelineModel:
     table = stage(table, "stacked")
+    table = packed(table, 8 * 15, table.count())
     if spec.ensembler == "ensembler_lr":
         estimator = LogisticRegression(
             featuresCol="stacked", labelCol="label", family="multinomial",
-            regParam=1.0 / max(table.count(), 1), standardization=False, maxIter=spec.max_iter,
+            regParam=1.0 / max(table.count(), 1), standardization=False, maxIter=spec.max_iter, tol=1e-4,
         )
     else:
         table = table.withColumn("weight", weight_column(table))

@@ -10,9 +10,12 @@ in ``DIALECT``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from quillspark.plans.features import Resources
+from quillspark.session import spread, stage
 
 BASE_TABLES = ["documents", "labels", "embeddings", "benchmark"]
 
@@ -104,50 +107,65 @@ def render(text: str, engine: str) -> str:
     return text
 
 
-def with_clause(query: str, engine: str = "check", extra: dict[str, str] | None = None) -> str:
-    """``query`` preceded by the views it uses, directly or through other views."""
-    import re
+def with_clause(
+    query: str, engine: str = "check", extra: dict[str, str] | None = None, given: tuple[str, ...] = ()
+) -> str:
+    """``query`` preceded by the views it uses, directly or through other views.
 
-    views = {**VIEWS, **(extra or {})}
-    used: set[str] = set()
+    The names in ``given`` are tables already.
+    """
+    views = {k: v for k, v in {**VIEWS, **(extra or {})}.items() if k not in given}
+    ordered: dict[str, str] = {}
 
     def visit(text: str) -> None:
-        for name in views:
-            if name not in used and re.search(rf"\b{name}\b", text):
-                used.add(name)
-                visit(views[name])
+        for name, body in views.items():
+            if name not in ordered and re.search(rf"\b{name}\b", text):
+                visit(body.replace(name, ""))
+                ordered[name] = body.strip()
 
     visit(query)
-    parts = [f"{name} AS ({views[name].strip()})" for name in views if name in used]
+    parts = [f"{name} AS ({body})" for name, body in ordered.items()]
     clause = f"WITH {', '.join(parts)} " if parts else ""
     return render(clause + query, engine)
 
 
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of ``VIEWS`` over the tables in ``sf_dir``."""
+def views(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+    """Some of ``VIEWS`` over the tables in ``sf_dir``.
+
+    The vocabulary is counted and written once for all the views that use it.
+    """
     for table in BASE_TABLES:
         base_table(spark, sf_dir, table).createOrReplaceTempView(table)
-    return spark.sql(with_clause(f"SELECT * FROM {name}", "spark"))
+    texts = {name: with_clause(f"SELECT * FROM {name}", "spark") for name in names}
+    given: tuple[str, ...] = ()
+    if any("vocabulary AS (" in text for text in texts.values()):
+        counted = spark.sql(with_clause("SELECT * FROM vocabulary", "spark"))
+        stage(counted, "vocabulary").createOrReplaceTempView("vocabulary")
+        given = ("vocabulary",)
+    return [spark.sql(with_clause(f"SELECT * FROM {name}", "spark", given=given)) for name in names]
 
 
-def resources(spark: SparkSession, sf_dir: str, language: str = "english") -> Resources:
-    """Side tables of one language."""
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return views(spark, sf_dir, name)[0]
 
-    def load(name: str) -> DataFrame:
-        return view(spark, sf_dir, name)
 
+def resources(spark: SparkSession, sf_dir: str, language: str = "english") -> Resources:
+    """Side tables of one language."""
     documents = base_table(spark, sf_dir, "embeddings").selectExpr("vec_id AS id", "embedding AS vec")
-    common = {
-        "emotions": load("emotions"), "vectors": load("vectors"), "dim": DIM,
-        "document_vectors": {"Document_embeddings": documents},
-    }
+    sentences = {"Document_embeddings": documents}
     if language == "english":
-        return Resources(slang=load("slang"), stop_words=load("stop_words"), **common)
+        names = ("emotions", "vectors", "slang", "stop_words")
+        emotions, vectors, slang, stop_words = views(spark, sf_dir, *names)
+        return Resources(
+            emotions, vectors, DIM, slang=slang, stop_words=stop_words, document_vectors=sentences
+        )
+    names = ("emotions", "vectors", "polarity", "emotions_es", "translations")
+    emotions, vectors, polarity, emotions_es, translations = views(spark, sf_dir, *names)
     return Resources(
-        polarity=load("polarity"), emotions_es=load("emotions_es").select("word", "emotion"),
-        translations=load("translations"), **common,
+        emotions, vectors, DIM, polarity=polarity, emotions_es=emotions_es.select("word", "emotion"),
+        translations=translations, document_vectors=sentences,
     )

@@ -135,10 +135,9 @@ CLEANING = {
         WHERE e.freq = 0
         UNION ALL SELECT e.word, 2, r.candidate, r.freq FROM edits e JOIN reached r ON e.middle = r.middle
         WHERE e.freq = 0""",
-    "spell_best": "SELECT word, tier, arg_min(candidate, (-freq, candidate)) AS candidate, max(freq) AS freq "
-    "FROM spell_options GROUP BY word, tier",
-    "spell_fixes": "SELECT word, arg_min(candidate, tier) AS correction FROM spell_best GROUP BY word",
-    "plain_normalized": "",  # filled below
+    "spell_best": "SELECT word, min(tier) AS tier, arg_min(candidate, (tier, -freq, candidate)) AS candidate, "
+    "arg_min(freq, (tier, -freq, candidate)) AS freq FROM spell_options GROUP BY word",
+    "spell_fixes": "SELECT word, candidate AS correction FROM spell_best",
 }
 
 

@@ -21,7 +21,7 @@ from quillspark.operators.cleaning import clean, clean_language, stripped
 from quillspark.operators.extended import fit_extended, training_set
 from quillspark.plans import job
 from quillspark.plans.features import feature_vectors, fit_features
-from quillspark.plans.fixtures import DIM, base_table, resources, view
+from quillspark.plans.fixtures import DIM, base_table, resources, view, views
 from quillspark.schemas import (
     CLASSES,
     EMOTIONS,
@@ -291,8 +291,8 @@ def lexicon_last_wins(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stopword_anti(spark: SparkSession, sf: str) -> DataFrame:
-    terms = lx.last_wins(view(spark, sf, "slang"))
-    return lx.without_stop_words(terms, view(spark, sf, "stop_words"))
+    slang, stop_words = views(spark, sf, "slang", "stop_words")
+    return lx.without_stop_words(lx.last_wins(slang), stop_words)
 
 
 @query
@@ -315,7 +315,7 @@ def _scored(spark: SparkSession, sf: str, language: str) -> DataFrame:
 @query
 def slang_score(spark: SparkSession, sf: str) -> DataFrame:
     texts = _scored(spark, sf, "en")
-    scores = lx.slang_scores(texts, view(spark, sf, "slang"), view(spark, sf, "stop_words"))
+    scores = lx.slang_scores(texts, *views(spark, sf, "slang", "stop_words"))
     return lx.with_defaults(texts.select("id"), scores)
 
 
@@ -411,21 +411,21 @@ def translation_join(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def ext_training_set(spark: SparkSession, sf: str) -> DataFrame:
-    rows = training_set(view(spark, sf, "emotions"), view(spark, sf, "vectors"))
+    rows = training_set(*views(spark, sf, "emotions", "vectors"))
     return rows.select("word", *EXT_EMOTIONS, _checksum().alias("checksum"))
 
 
 @query
 def ext_training_set_phrases(spark: SparkSession, sf: str) -> DataFrame:
-    lexicon = view(spark, sf, "phrase_emotions")
-    rows = training_set(lexicon, view(spark, sf, "vectors"), split_phrases=True)
+    rows = training_set(*views(spark, sf, "phrase_emotions", "vectors"), split_phrases=True)
     return rows.select("word", *EXT_EMOTIONS, _checksum().alias("checksum"))
 
 
 def _ext(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     texts = _scored(spark, sf, "en")
-    vectors = stage(view(spark, sf, "vectors"), "vectors")
-    model = fit_extended(training_set(view(spark, sf, "emotions"), vectors))
+    emotions, vectors = views(spark, sf, "emotions", "vectors")
+    vectors = stage(vectors, "vectors")
+    model = fit_extended(training_set(emotions, vectors))
     return lx.with_defaults(texts.select("id"), model.score_texts(texts, vectors, kind), 0.0)
 
 
@@ -483,9 +483,11 @@ def _plain_features(spark: SparkSession, sf: str) -> DataFrame:
     cleaned = stage(_cleaned(spark, sf, "en", "tweets"), "cleaned")
     normalizer = nm.Normalizer(columns=COUNTS, method="z_score").fit(cleaned.where("split = 'train'"))
     base, texts = normalizer.transform(cleaned), cleaned.select("id", "cleaned_text")
-    out = lx.with_defaults(base, lx.slang_scores(texts, view(spark, sf, "slang"), view(spark, sf, "stop_words")))
-    out = lx.with_defaults(out, lx.emotion_shares(texts, view(spark, sf, "emotions")), 0.0)
-    means = vx.mean_vectors(texts, view(spark, sf, "vectors"), DIM, "Aggregate_embeddings")
+    names = ("slang", "stop_words", "emotions", "vectors")
+    slang, stop_words, emotions, vectors = views(spark, sf, *names)
+    out = lx.with_defaults(base, lx.slang_scores(texts, slang, stop_words))
+    out = lx.with_defaults(out, lx.emotion_shares(texts, emotions), 0.0)
+    means = vx.mean_vectors(texts, vectors, DIM, "Aggregate_embeddings")
     return vx.with_zero_vector(out, means, DIM, "Aggregate_embeddings")
 
 

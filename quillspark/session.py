@@ -61,3 +61,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = stage_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a file scan out to all cores when it has fewer splits than cores.
+
+    A table in one small file would otherwise be cleaned by a single task. A large
+    table has more splits than cores and passes unchanged, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def packed(table: DataFrame, row_bytes: int, rows: int, part_bytes: int = 4 * 1024 * 1024) -> DataFrame:
+    """Merge the splits of a small table that an iterative fit reads again and again.
+
+    The number of splits follows the size of the data, so that a tiny table does
+    not pay for many tasks in every iteration and a large one stays spread out.
+    """
+    wanted = max(1, -(-row_bytes * rows // part_bytes))
+    return table.coalesce(wanted) if wanted < table.rdd.getNumPartitions() else table

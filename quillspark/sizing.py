@@ -9,6 +9,8 @@ occurrences is spread over many tasks.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,9 +43,25 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(per_row.cast("long")).alias("b")).first()["b"] or 0
 
 
+@dataclass
+class Side:
+    """A side table written once, with its measured payload."""
+
+    table: DataFrame
+    size: int
+
+    def fits(self, limit: int = BROADCAST_BYTES) -> bool:
+        return self.size <= limit
+
+
+def written(side: DataFrame) -> Side:
+    table = stage(side, "side")
+    return Side(table, measured_bytes(table))
+
+
 def lookup(
     occurrences: DataFrame,
-    side: DataFrame,
+    side: DataFrame | Side,
     on: str,
     key: str = "id",
     how: str = "inner",
@@ -56,16 +74,16 @@ def lookup(
     of ``side``. Under the bound each occurrence stays a row (n = 1), because
     the aggregate by key that follows combines them before its shuffle.
     """
-    side = stage(side, "side")
-    if measured_bytes(side) <= limit:
-        return occurrences.withColumn("n", F.lit(1)).join(F.broadcast(side), on, how)
+    side = side if isinstance(side, Side) else written(side)
+    if side.fits(limit):
+        return occurrences.withColumn("n", F.lit(1)).join(F.broadcast(side.table), on, how)
     counted = occurrences.groupBy(*occurrences.columns).agg(F.count(F.lit(1)).cast("int").alias("n"))
-    return salted(counted, side, on, key, how, salts)
+    return salted(counted, side.table, on, key, how, salts)
 
 
 def attach(
     rows: DataFrame,
-    side: DataFrame,
+    side: DataFrame | Side,
     on: str,
     key: str = "id",
     how: str = "left",
@@ -73,10 +91,10 @@ def attach(
     salts: int = SALTS,
 ) -> DataFrame:
     """Like ``lookup`` but keeps every row of ``rows`` as it is (no counting)."""
-    side = stage(side, "side")
-    if measured_bytes(side) <= limit:
-        return rows.join(F.broadcast(side), on, how)
-    return salted(rows, side, on, key, how, salts)
+    side = side if isinstance(side, Side) else written(side)
+    if side.fits(limit):
+        return rows.join(F.broadcast(side.table), on, how)
+    return salted(rows, side.table, on, key, how, salts)
 
 
 def salted(rows: DataFrame, side: DataFrame, on: str, key: str, how: str, salts: int) -> DataFrame:
