@@ -33,8 +33,8 @@ DEFAULTS = {
         "max_features": "sqrt", "bootstrap": True, "random_state": 42,
         "class_weight": "balanced_subsample", "max_samples": 0.2,
     },
-    "svm": {"kernel": "poly", "degree": 3, "C": 1.0},
-    "logistic_regression": {"C": 1.0, "max_iter": 1000, "class_weight": None},
+    "svm": {"kernel": "poly", "degree": 3, "C": 1.0, "max_iter": 100, "tol": 1e-3},
+    "logistic_regression": {"C": 1.0, "max_iter": 1000, "tol": 1e-4, "class_weight": None},
 }
 
 
@@ -112,7 +112,7 @@ def _logistic(params: dict, label: str, weight: str | None, rows: int, family: s
         elasticNetParam=0.0,
         standardization=False,
         maxIter=params["max_iter"],
-        tol=1e-4,
+        tol=params["tol"],
         **extra,
     )
 
@@ -129,7 +129,7 @@ def _margin(params: dict, label: str, rows: int) -> LinearSVC:
     features = "features" if params["kernel"] == "linear" else "expanded"
     return LinearSVC(
         featuresCol=features, labelCol=label, regParam=1.0 / (params["C"] * max(rows, 1)),
-        standardization=False, maxIter=100,
+        standardization=False, maxIter=params["max_iter"], tol=params["tol"],
     )
 
 

@@ -23,6 +23,7 @@ from quillspark.functions import text as tx
 from quillspark.session import stage
 from quillspark.sizing import attach
 
+WORDS_PER_TASK = 5000
 ALPHABET = string.ascii_lowercase
 SPANISH_ALPHABET = string.ascii_lowercase + "áéíñóúü"
 
@@ -113,19 +114,40 @@ def unknown_tokens(tokens: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
 
 
-def _best(words: DataFrame, keys: Column, target_keys: Column, dictionary: DataFrame) -> DataFrame:
-    """(word, candidate, freq): the most frequent, then first, dictionary word sharing a key."""
-    best = F.min_by("candidate", F.struct(-F.col("freq"), F.col("candidate"))).alias("candidate")
+def _ranked(dictionary: DataFrame) -> DataFrame:
+    """Dictionary with a ``rank`` that is lowest for the most frequent, then first, word.
+
+    The numbers follow a distributed sort, so no task sees the whole dictionary; a
+    number as the value to minimise keeps the aggregates below hash-based.
+    """
+    ordered = dictionary.orderBy(F.desc("freq"), "word")
+    return stage(ordered.withColumn("rank", F.monotonically_increasing_id()), "ranked")
+
+
+def _fanned(words: DataFrame) -> DataFrame:
+    """Deal a written table out before each row grows into hundreds of strings."""
+    cores = words.sparkSession.sparkContext.defaultParallelism
+    return words.repartition(max(cores, words.count() // WORDS_PER_TASK))
+
+
+def _best(words: DataFrame, keys: Column, target_keys: Column, ranked: DataFrame) -> DataFrame:
+    """(word, rank): the best dictionary word that shares a key.
+
+    The many keys of the unknown words stream past hash tables of the dictionary's
+    keys, one per shuffle partition, instead of being sorted for a merge.
+    """
     reach = (
-        dictionary.select(F.explode(target_keys).alias("key"), F.col("word").alias("candidate"), "freq")
+        _fanned(ranked)
+        .select(F.explode(target_keys).alias("key"), "rank")
         .groupBy("key")
-        .agg(best, F.max("freq").alias("freq"))
+        .agg(F.min("rank").alias("rank"))
     )
     return (
-        words.select("word", F.explode(keys).alias("key"))
-        .join(reach, "key")
+        _fanned(words)
+        .select("word", F.explode(keys).alias("key"))
+        .join(reach.hint("shuffle_hash"), "key")
         .groupBy("word")
-        .agg(best, F.max("freq").alias("freq"))
+        .agg(F.min("rank").alias("rank"))
     )
 
 
@@ -133,15 +155,14 @@ def candidates(unknown: DataFrame, dictionary: DataFrame, alphabet: str | None =
     """(word, tier, candidate, freq) for the unknown words with a dictionary word in reach;
     two edits are tried only where one edit finds nothing."""
     word = F.col("word")
-    near = stage(_best(unknown, _keys(word, True), _keys(word, False), dictionary), "near")
-    rest = unknown.select("word").join(near.select("word"), "word", "left_anti")
+    ranked, unknown = _ranked(dictionary), stage(unknown.select("word"), "unknown")
+    near = stage(_best(unknown, _keys(word, True), _keys(word, False), ranked), "near")
+    rest = stage(unknown.join(near, "word", "left_anti"), "rest")
     edits = one_edit(word, alphabet or ALPHABET)
-    far = _best(rest, edits, edits, dictionary)
-    return (
-        near.withColumn("tier", F.lit(1))
-        .unionByName(far.withColumn("tier", F.lit(2)))
-        .select("word", "tier", "candidate", "freq")
-    )
+    far = _best(rest, edits, edits, ranked)
+    found = near.withColumn("tier", F.lit(1)).unionByName(far.withColumn("tier", F.lit(2)))
+    named = ranked.select("rank", F.col("word").alias("candidate"), "freq")
+    return found.join(named, "rank").select("word", "tier", "candidate", "freq")
 
 
 def corrections(unknown: DataFrame, dictionary: DataFrame, alphabet: str | None = None) -> DataFrame:
@@ -158,8 +179,7 @@ def correct_texts(
     placed = df.select(
         "id", F.posexplode(tx.tokens(tx.squash(F.coalesce(F.col(column), F.lit(""))))).alias("pos", "word")
     )
-    unknown = stage(unknown_tokens(placed, dictionary), "unknown")
-    fixes = corrections(unknown, dictionary, alphabet)
+    fixes = corrections(unknown_tokens(placed, dictionary), dictionary, alphabet)
     fixed = attach(placed, fixes, "word").select(
         "id", F.struct("pos", F.coalesce("correction", "word").alias("w")).alias("t")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -72,14 +73,17 @@ def fit_calibration(scored: DataFrame, classes: list[str]) -> MarginCalibration:
     """Fit the curves on rows with ``rawPrediction`` and the class index ``label``."""
     margins = stage(scored.select(vector_to_array("rawPrediction").alias("m"), "label"), "margins")
     margins = packed(margins, 8 * len(classes), margins.count()).cache()
-    slopes = []
-    for i in range(len(classes)):
+
+    def fit_one(i: int) -> tuple[float, float]:
         one = margins.select(
             array_to_vector(F.array(F.col("m")[i])).alias("features"),
             (F.col("label") == i).cast("double").alias("label"),
         )
         fitted = LogisticRegression(maxIter=100, tol=1e-4).fit(one)
-        slopes.append((float(fitted.coefficients[0]), max(min(float(fitted.intercept), 700.0), -700.0)))
+        return float(fitted.coefficients[0]), max(min(float(fitted.intercept), 700.0), -700.0)
+
+    with ThreadPoolExecutor(max(1, len(classes))) as pool:
+        slopes = list(pool.map(fit_one, range(len(classes))))
     margins.unpersist()
     return MarginCalibration(classes, slopes)
 

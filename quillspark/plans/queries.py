@@ -33,7 +33,7 @@ from quillspark.schemas import (
     default_features,
     normalized_column,
 )
-from quillspark.session import stage, stage_path
+from quillspark.session import spread, stage, stage_path
 from quillspark.sources import sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -355,7 +355,7 @@ def _checksum(column: str = "vec") -> F.Column:
 @query
 def vector_parse(spark: SparkSession, sf: str) -> DataFrame:
     """Vector lines, with an earlier line of other numbers for each word, and a header."""
-    vectors = view(spark, sf, "vectors")
+    vectors = spread(stage(view(spark, sf, "vectors"), "vectors"))
     line = F.concat_ws(" ", "word", F.array_join(F.col("vec").cast("array<string>"), " "))
     earlier = F.concat_ws(" ", F.col("word"), F.array_join(F.transform("vec", lambda x: (-x).cast("string")), " "))
     lines = vectors.select(
