@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.operators.cleaning import clean
-from quillspark.operators.evaluate import evaluate_a, evaluate_b, validate
+from quillspark.operators.evaluate import evaluate_a, evaluate_b, score_report, validate
 from quillspark.operators.models import LabelModel, ModelSpec, fit_model
 from quillspark.operators.stacking import StackModel, StackSpec, fit_stack
 from quillspark.plans.features import FeatureModel, Resources, fit_features
 from quillspark.schemas import LABELS
 from quillspark.session import stage
+from quillspark.sources.sinks import write_scores
+from quillspark.sources.tables import read_gold, read_prediction_folder
 
 
 @dataclass
@@ -65,3 +67,27 @@ def run(
         part = part.select(F.lit(split).alias("split"), "metric", "value")
         scores = part if scores is None else scores.unionByName(part)
     return JobResult(features, model, predictions, scores)
+
+
+def evaluate_folder(
+    spark: SparkSession,
+    input_dir: str,
+    output_path: str | None = None,
+    tasks: tuple[str, ...] = ("a", "b"),
+    f1_undefined: float = 1.0,
+) -> DataFrame:
+    """Score the prediction files in ``res`` against the gold file in ``ref``.
+
+    Returns the report lines (line_no, line) and writes them if a path is given.
+    """
+    gold = read_gold(spark, f"{input_dir}/ref/*.tsv")
+    rows = {}
+    for task in tasks:
+        labels, evaluate = (["HS"], evaluate_a) if task == "a" else (LABELS, evaluate_b)
+        pred = read_prediction_folder(spark, f"{input_dir}/res", task)
+        validate(gold, pred, labels)
+        rows[task] = evaluate(gold, pred, f1_undefined)
+    report = score_report(rows.get("a"), rows.get("b"))
+    if output_path:
+        write_scores(report, output_path)
+    return report

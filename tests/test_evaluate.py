@@ -88,3 +88,16 @@ def test_class_absent_from_gold_and_never_predicted(spark):
     gold_df, pred_df = tables(spark, [("1", 0, 0, 0), ("2", 0, 0, 0)], [("1", 1, 0, 0), ("2", 1, 0, 0)])
     row = ev.macro_metrics(ev.confusion(ev.match(gold_df, pred_df))).where(F.col("label") == "HS").first()
     assert (row["precision"], row["recall"], row["accuracy"]) == (0.5, 0.5, 0.0)
+
+
+def test_evaluate_folder(spark, tmp_path):
+    from quillspark.plans.job import evaluate_folder
+    from quillspark.sources.sinks import write_gold, write_predictions
+
+    rows = spark.createDataFrame([(int(i), "t ", *x) for i, *x in GOLD], "id long, cleaned_text string, HS int, TR int, AG int")
+    write_gold(rows, str(tmp_path / "ref"), "en")
+    predicted = rows.select("id", *[F.col(x).alias(f"{x}_prediction") for x in LABELS])
+    write_predictions(predicted, str(tmp_path / "res"), "en")
+    evaluate_folder(spark, str(tmp_path), str(tmp_path / "scores"))
+    lines = [r["value"] for r in spark.read.text(str(tmp_path / "scores")).collect()]
+    assert len(lines) == 19 and all(x == "" or x.endswith(": 1.0") for x in lines)
