@@ -283,6 +283,8 @@ def _queries() -> dict[str, str]:
         "WHERE c.language = 'en'",
         "export_pred_a": "SELECT id, HS AS HS_prediction FROM predicted",
         "export_pred_b": "SELECT id, HS, TR, AG FROM predicted",
+        "snapshot_roundtrip": 'SELECT split, count(*) AS n, CAST(sum("!_count") AS BIGINT) AS bangs '
+        "FROM english_counts GROUP BY split",
         "tokenize_ws": "SELECT id, t, CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' ')) END AS n FROM squashed",
         "remove_urls": f"SELECT id, {_drop('t', 'http')} AS t FROM squashed",
         "hashtags": f"SELECT id, {_list('t', '#')} AS tags, {_drop('t', '#')} AS t FROM squashed",

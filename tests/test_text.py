@@ -95,7 +95,7 @@ def by_hand(text, symbols=("!", "?", "$", "*")):
 ALPHABET = st.sampled_from(list("aBé#@!?$*:_ \t\n ") + ["http", " #", " @"])
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.lists(ALPHABET, max_size=25).map("".join), min_size=1, max_size=40))
 def test_clean_matches_plain_python(spark, texts):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
