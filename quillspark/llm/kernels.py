@@ -124,7 +124,7 @@ def pieces(texts: pa.Array, limit: int = PIECE) -> Iterator[Piece]:
     """Cut a column of texts into pieces of whole texts."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string()).fill_null("")
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
     n = len(texts)
     if not n:
         return
