@@ -56,7 +56,8 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, site: str =
     found = stage(boilerplate(docs, min_sites, site, text).select("line"), "boilerplate")
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     hashes = F.transform(lines_of(F.col(text)), line_hash)
-    row = F.xxhash64(text)  # a text's lines don't depend on the row that holds it
+    # keyed by the whole row, so that copies of one text are spread out; rows that clash share boilerplate only
+    row = F.xxhash64(*[docs[c] for c in docs.columns])
     uses = docs.select(row.alias("_t"), F.explode(F.array_distinct(hashes)).alias("line"))
     gone = uses.join(found, "line", "left_semi").groupBy("_t").agg(F.collect_set("line").alias("_gone"))
     joined = docs.select(*[docs[c] for c in keep], row.alias("_row")).join(gone, F.col("_row") == F.col("_t"), "left")
