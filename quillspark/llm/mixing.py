@@ -133,10 +133,11 @@ def mix_sized(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 
 def apply_copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """The mixture itself: every document as often as its copies say, with all its columns."""
-    key = F.xxhash64(F.col("doc_id"), F.col("source"), F.col("text"))
-    copies = mix(docs, weights, share, cap).where("copies > 0").groupBy("key").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
-    # identical rows share a key: their copies are added and dealt to one of them
-    keyed = docs.withColumn("_key", key)
-    joined = keyed.join(copies.withColumnsRenamed({"key": "_k", "copies": "_copies", "rows": "_rows"}), F.col("_key") == F.col("_k"))
-    times = F.sequence(F.lit(1), F.col("_copies").cast("int"))
-    return joined.select(*[docs[c] for c in docs.columns], F.explode(times).alias("_time"), "_rows").where("_rows >= 1").drop("_time", "_rows")
+    keyed = docs.withColumn("_key", F.xxhash64(*[docs[c] for c in docs.columns]))
+    sized = keyed.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.col("_key").alias("key"))
+    taken = mix_sized(stage(sized, "mix-sizes"), weights, share, cap).where("copies > 0")
+    copies = taken.groupBy(F.col("key").alias("_k")).agg(F.sum("copies").cast("int").alias("_copies"))
+    # identical rows share a key: one of them stands for all, as often as all are taken
+    once = keyed.groupBy("_key").agg(F.first(F.struct(*docs.columns)).alias("_row"))
+    joined = once.join(copies, F.col("_key") == F.col("_k")).select("_row", F.explode(F.sequence(F.lit(1), "_copies")).alias("_time"))
+    return joined.select("_row.*")

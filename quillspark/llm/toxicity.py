@@ -214,7 +214,7 @@ def score(docs: DataFrame, model: ToxicModel, keep: list[str], threshold: float
                 counts.append(np.bincount(row[bad], minlength=piece.rows))
                 spans.append((a[bad], b[bad], p[bad]))
             join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-            value = join(scores, float)
+            value = join(scores, float) if len(mine.features) else np.zeros(len(texts))
             kinds = (pa.int64(), pa.int64(), pa.float64())
             flat = pa.StructArray.from_arrays([pa.array(join([s[k] for s in spans], float if k == 2 else np.int64), kinds[k]) for k in range(3)], names=["first_byte", "end_byte", "score"])
             return [pa.array(value, pa.float64()), pa.array((value >= threshold).astype(np.int32)), K.lists(join(counts, np.int64), flat, flat.type)]
