@@ -13,6 +13,8 @@ from quillspark.session import stage
 JITTER = 0.01
 SEED = 611
 DRAWS_PER_KEY = 1000
+DRAWS_PER_TASK = 500_000
+BUCKET_ROWS = 100_000
 
 
 def class_counts(df: DataFrame, target: str = "Target") -> DataFrame:
@@ -41,35 +43,55 @@ def weight_column(df: DataFrame, target: str = "Target") -> Column:
     return F.coalesce(*branches, F.lit(1.0))
 
 
+def _hash(*parts: Column | int | str) -> Column:
+    return F.xxhash64(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+
+
+def _uniform(*parts: Column | int | str) -> Column:
+    """A number between 0 and 1, both excluded, that depends on ``parts`` alone."""
+    return (F.shiftrightunsigned(_hash(*parts), 11).cast("double") + 0.5) / 2.0**53
+
+
+def _normal(*parts: Column | int | str) -> Column:
+    """A draw from the standard normal distribution (Box-Muller) that depends on ``parts`` alone."""
+    return F.sqrt(-2.0 * F.log(_uniform(0, *parts))) * F.cos(2.0 * math.pi * _uniform(1, *parts))
+
+
 def _indexed(df: DataFrame, target: str) -> DataFrame:
-    """Number the rows of each class from 0.
+    """Number the rows of each class from 0, by their values alone.
 
-    Rows are numbered inside a written partition and shifted by the running count of
-    the earlier partitions, so no window ever spans a whole class.
+    Equal rows are counted first. Distinct rows are dealt by hash into buckets of about
+    ``BUCKET_ROWS``, numbered inside a bucket and shifted by the running count of the
+    buckets before, so no window ever spans a whole class and no partition matters.
     """
-    placed = stage(df.withColumn("_part", F.spark_partition_id()).withColumn(
-        "_row", F.monotonically_increasing_id()), "balance")
-    local = Window.partitionBy(target, "_part").orderBy("_row")
-    sizes = placed.groupBy(target, "_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(target).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        target, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_hash", F.xxhash64(*columns))
+    counted = stage(counted, "balance")
+    placed = counted.withColumn("_part", F.pmod("_hash", F.lit(max(1, counted.count() // BUCKET_ROWS))))
+    earlier = (Window.unboundedPreceding, -1)
+    local = Window.partitionBy(target, "_part").orderBy("_hash", *columns).rowsBetween(*earlier)
+    before = Window.partitionBy(target).orderBy("_part").rowsBetween(*earlier)
+    sizes = placed.groupBy(target, "_part").agg(F.sum("_n").alias("_size"))
+    offsets = sizes.select(target, "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    first = F.col("_offset") + F.col("_local")
     return (
-        placed.withColumn("_local", F.row_number().over(local) - 1)
+        placed.withColumn("_local", F.coalesce(F.sum("_n").over(local), F.lit(0)))
         .join(offsets, [target, "_part"])
-        .withColumn("_idx", (F.col("_offset") + F.col("_local")).cast("long"))
-        .drop("_part", "_row", "_local", "_offset")
+        .select(*columns, F.explode(F.sequence(first, first + F.col("_n") - 1)).alias("_idx"))
     )
 
 
-def balance(df: DataFrame, target: str = "Target", jitter: float = JITTER, seed: int = SEED) -> DataFrame:
-    """All rows plus, per class, drawn copies up to the size of the largest class, shuffled.
+def balance(
+    df: DataFrame, target: str = "Target", jitter: float = JITTER, seed: int = SEED, shuffled: bool = False
+) -> DataFrame:
+    """All rows plus, per class, drawn copies up to the size of the largest class.
 
     Every column but ``target`` must be numeric; a drawn copy gets normal noise added
-    to each of them. Draws are a distributed range per class joined to the numbered
-    rows. A small class is drawn often, so its rows are copied under a few salts
-    first and no key meets more than about ``DRAWS_PER_KEY`` draws.
+    to each of them. Draws and noise are hashes of the seed, the class and the number of the
+    draw: the same rows give the same result in any partitioning. Draws are a distributed range
+    per class joined to the numbered rows. A small class is drawn often, so its rows are copied under
+    a few salts first and no key meets more than about ``DRAWS_PER_KEY`` draws. ``shuffled`` sorts
+    the result by a hash, which moves the whole table; estimators don't need it.
     """
     spark = df.sparkSession
     features = [c for c in df.columns if c != target]
@@ -79,23 +101,25 @@ def balance(df: DataFrame, target: str = "Target", jitter: float = JITTER, seed:
         r[target]: (r["n"], r["deficit"], max(1, math.ceil(r["deficit"] / r["n"] / DRAWS_PER_KEY)))
         for r in class_deficits(indexed, target).collect()
     }
-    slices = spark.sparkContext.defaultParallelism
     draws = [
-        spark.range(0, need, 1, slices).select(
+        spark.range(0, need, 1, math.ceil(need / DRAWS_PER_TASK)).select(
             F.lit(name).alias(target),
-            F.floor(F.rand(seed + i) * n).alias("_idx"),
-            F.floor(F.rand(seed + 100 + i) * salts).cast("int").alias("_salt"),
+            F.col("id").alias("_draw"),
+            F.pmod(_hash(seed, "row", name, F.col("id")), F.lit(n)).alias("_idx"),
+            F.pmod(_hash(seed, "salt", name, F.col("id")), F.lit(salts)).cast("int").alias("_salt"),
         )
-        for i, (name, (n, need, salts)) in enumerate(sorted(plan.items()))
+        for name, (n, need, salts) in plan.items()
         if need > 0
     ]
-    originals = indexed.select(*features, target)
+    names = [F.col(f"`{c}`") for c in features]
+    out = indexed.select(*names, target)
     if draws:
         copies = F.coalesce(*[F.when(F.col(target) == k, F.lit(v[2])) for k, v in plan.items()], F.lit(1))
         salted = indexed.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1)))
         drawn = reduce(DataFrame.unionByName, draws).join(salted, [target, "_idx", "_salt"])
         noisy = [
-            (F.col(f"`{c}`") + F.randn(seed + 1000 + i) * jitter).alias(c) for i, c in enumerate(features)
+            (F.col(f"`{c}`") + _normal(seed, i, F.col(target), F.col("_draw")) * jitter).alias(c)
+            for i, c in enumerate(features)
         ]
-        originals = originals.unionByName(drawn.select(*noisy, target))
-    return originals.orderBy(F.rand(seed))
+        out = out.unionByName(drawn.select(*noisy, target))
+    return out.orderBy(_hash(seed, *names)) if shuffled else out

@@ -47,7 +47,6 @@ def clean(
     symbols: list[str] | None = None,
     emoji_names: dict[str, str] | None = None,
     dictionary: DataFrame | None = None,
-    alphabet: str | None = None,
 ) -> DataFrame:
     """Full cleaning of (id, text, ...).
 
@@ -56,7 +55,7 @@ def clean(
     """
     out = stripped(df, symbols)
     if dictionary is not None:
-        out = correct_texts(out, dictionary, alphabet=alphabet)
+        out = correct_texts(out, dictionary)
     named = tx.emoji_named(F.col("cleaned_text"), emoji_names)
     return out.withColumn("cleaned_text", F.lower(named))
 
@@ -64,3 +63,15 @@ def clean(
 def clean_language(df: DataFrame, language: str, **options) -> DataFrame:
     """Clean the rows of one language code; the filter reaches the scan."""
     return clean(df.where(F.col("language") == language), **options)
+
+
+def token_lengths(df: DataFrame, column: str = "cleaned_text", cap: int | None = None) -> DataFrame:
+    """(tokens, n, longest): how many squashed texts have so many tokens, and the most tokens of any text.
+
+    ``cap`` counts longer texts as texts of that many tokens; ``longest`` is never capped.
+    """
+    size = F.size(tx.tokens(F.coalesce(F.col(column), F.lit(""))))
+    counts = df.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n"))
+    longest = counts.agg(F.max("size")).scalar()
+    shown = F.col("size") if cap is None else F.least("size", F.lit(cap))
+    return counts.groupBy(shown.alias("tokens")).agg(F.sum("n").alias("n"), F.max(longest).alias("longest"))

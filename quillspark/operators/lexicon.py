@@ -7,6 +7,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.functions import text as tx
 from quillspark.schemas import EMOTIONS
@@ -100,12 +101,13 @@ def phrase_scores(
     column: str = "cleaned_text",
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """(id, out): sum over the lexicon (term, score) of occurrences times score.
+    """(id, out): sum over the lexicon (term, score) of occurrences times score, whole if all scores are.
 
     Only texts with a match have a row. Single runs are counted by an equi-join of
     the exploded runs; the text itself is carried only for multi-run phrases.
     """
-    phrases = stage(keyed_phrases(lexicon), "phrases")
+    kind = "long" if isinstance(lexicon.schema["score"].dataType, T.IntegralType) else "double"
+    phrases = stage(keyed_phrases(lexicon.withColumn("score", F.col("score").cast(kind))), "phrases")
     runs = phrases.where("single").select(F.col("key").alias("word"), "score")
     runs = Side(runs, measured_bytes(runs))
     body = texts.select("id", F.coalesce(F.col(column), F.lit("")).alias("text"))
@@ -115,7 +117,7 @@ def phrase_scores(
     occurrences = body.select("id", F.explode(units).alias("word"))
     parts = [
         lookup(occurrences, runs, "word", limit=limit).select(
-            "id", (F.col("n") * F.col("score")).cast("long").alias("part")
+            "id", (F.col("n") * F.col("score")).alias("part")
         )
     ]
     longer = phrases.where("NOT single").select("key", "term", "score")
@@ -136,7 +138,7 @@ def _longer_phrases(body: DataFrame, phrases: DataFrame, small: bool) -> DataFra
         pairs = salted(body.select("id", F.explode(keys).alias("key")), phrases, "key", "id", "inner", SALTS)
         found = body.join(pairs, "id")
     hits = F.size(F.regexp_extract_all("text", phrase_pattern(F.col("term")), 0))
-    return found.select("id", (hits * F.col("score")).cast("long").alias("part"))
+    return found.select("id", (hits * F.col("score")).alias("part"))
 
 
 def slang_scores(

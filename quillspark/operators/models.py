@@ -33,7 +33,7 @@ DEFAULTS = {
         "max_features": "sqrt", "bootstrap": True, "random_state": 42,
         "class_weight": "balanced_subsample", "max_samples": 0.2,
     },
-    "svm": {"kernel": "poly", "degree": 3, "C": 1.0, "max_iter": 100, "tol": 1e-3},
+    "svm": {"kernel": "linear", "degree": 3, "C": 1.0, "max_iter": 100, "tol": 1e-3},
     "logistic_regression": {"C": 1.0, "max_iter": 1000, "tol": 1e-4, "class_weight": None},
 }
 
@@ -60,6 +60,10 @@ class ModelSpec:
         if unknown:
             raise ValueError(f"unknown parameters: {sorted(unknown)}")
         self.params = {**DEFAULTS[self.kind], **self.params}
+        if (self.params.get("max_depth") or 0) > MAX_DEPTH:
+            raise ValueError(f"max_depth is at most {MAX_DEPTH}; None means {MAX_DEPTH}")
+        if self.params.get("kernel", "linear") not in ("linear", "poly"):
+            raise ValueError("kernel is 'linear' or 'poly'")
 
 
 def assemble(df: DataFrame, features: list[str], embeddings: list[str], out: str = "features") -> DataFrame:
@@ -85,7 +89,7 @@ def training_table(df: DataFrame, spec: ModelSpec) -> DataFrame:
 
 
 def _forest(params: dict, label: str, weight: str | None) -> RandomForestClassifier:
-    depth = MAX_DEPTH if params["max_depth"] is None else min(params["max_depth"], MAX_DEPTH)
+    depth = MAX_DEPTH if params["max_depth"] is None else params["max_depth"]
     extra = {"weightCol": weight} if weight else {}
     return RandomForestClassifier(
         featuresCol="features",
@@ -120,9 +124,7 @@ def _logistic(params: dict, label: str, weight: str | None, rows: int, family: s
 def _expansion(params: dict) -> list[PolynomialExpansion]:
     if params["kernel"] == "linear":
         return []
-    if params["kernel"] == "poly":
-        return [PolynomialExpansion(degree=params["degree"], inputCol="features", outputCol="expanded")]
-    raise ValueError("kernel is 'linear' or 'poly'")
+    return [PolynomialExpansion(degree=params["degree"], inputCol="features", outputCol="expanded")]
 
 
 def _margin(params: dict, label: str, rows: int) -> LinearSVC:

@@ -2,20 +2,19 @@
 
 A word outside the dictionary becomes the most frequent dictionary word one edit
 away, else two edits away, else stays. An edit deletes, swaps two neighbours,
-replaces or inserts one letter.
-
-Only *distinct* unknown tokens are looked at. One edit is an equi-join on a few
-keys per word: two words share a key exactly if they are one edit apart. Words
-left over meet the dictionary half-way: both sides are expanded into their
-one-edit strings. The dictionary side is reduced to the best word per key before
-either join, so a key meets at most one row however many words share it: no list
-of pairs is ever built and none is left out.
+replaces or inserts one letter, of any alphabet.
+
+Only *distinct* unknown tokens are looked at, and words meet in equi-joins on keys.
+One edit: two words share a key exactly if they are one edit apart. Two edits: both
+words are taken one edit towards each other. A letter that an edit brings in
+is a blank, since the other word names it, so no alphabet is needed. The
+dictionary side is reduced to the best word per key before the join, so a key
+meets at most one row however many words share it: no list of pairs is
+ever built and none is left out.
 """
 
 from __future__ import annotations
 
-import string
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +23,7 @@ from quillspark.session import stage
 from quillspark.sizing import attach
 
 WORDS_PER_TASK = 5000
-ALPHABET = string.ascii_lowercase
-SPANISH_ALPHABET = string.ascii_lowercase + "áéíñóúü"
+OPEN = "\x00"
 
 
 def build_dictionary(words: DataFrame, min_count: int) -> DataFrame:
@@ -75,21 +73,13 @@ def _put(word: Column, filler: Column, skip: int) -> Column:
     )
 
 
-def one_edit(word: Column, alphabet: str = ALPHABET) -> Column:
-    """All strings one edit away, as an array without repeats."""
-    letters = F.array(*[F.lit(c) for c in alphabet])
-    return F.array_distinct(
-        F.concat(deletions(word), swaps(word), _put(word, letters, 1), _put(word, letters, 0))
-    )
-
-
 def _keys(word: Column, unknown: bool) -> Column:
     """Keys that two words share exactly if one edit turns the first into the second.
 
     ``=`` the unknown word loses or swaps letters to give the known one, ``+`` it is the
     known one less a letter, ``?`` the two differ in the one letter left blank.
     """
-    blanked = _put(word, F.array(F.lit("\x00")), 1)
+    blanked = _put(word, F.array(F.lit(OPEN)), 1)
     exact = F.concat(deletions(word), swaps(word)) if unknown else F.array(word)
     longer = F.array(word) if unknown else deletions(word)
     return F.array_distinct(
@@ -101,13 +91,36 @@ def _keys(word: Column, unknown: bool) -> Column:
     )
 
 
-def unknown_tokens(tokens: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Distinct tokens (column ``word``) to correct: not in the dictionary, with a
-    letter, and near enough in length to reach its longest word by two edits."""
+def _far_keys(table: DataFrame, held: str, unknown: bool) -> DataFrame:
+    """(key, ``held``): keys that two words of column ``word`` share exactly if two edits part them.
+
+    The words meet in a string one edit from each. It is ``0`` complete on both sides, ``1`` open at a
+    letter that the unknown word gets, ``2`` at one that the known word gets, ``3`` at one of each.
+    Strings one edit away are rows of their own before the second blank, so no row grows with
+    the square of a word.
+    """
+    word, blank = F.col("word"), F.array(F.lit(OPEN))
+    complete = F.array_distinct(F.concat(deletions(word), swaps(word)))
+    opened = F.concat(_put(word, blank, 1), _put(word, blank, 0))
+    near = F.concat(
+        F.transform(complete, lambda m: F.struct(F.lit(False).alias("open"), m.alias("m"))),
+        F.transform(opened, lambda m: F.struct(F.lit(True).alias("open"), m.alias("m"))),
+    )
+    steps = table.select(held, F.explode(near).alias("s")).select(held, "s.open", "s.m")
+    own, other = ("1", "2") if unknown else ("2", "1")
+    first = F.concat(F.when(F.col("open"), own).otherwise("0"), F.col("m"))
+    second = F.when(F.col("open"), "3").otherwise(other)
+    more = F.transform(_put(F.col("m"), blank, 1), lambda x: F.concat(second, x))
+    return steps.select(held, F.explode(F.concat(F.array(first), more)).alias("key"))
+
+
+def unknown_tokens(tokens: DataFrame, dictionary: DataFrame, min_length: int = 1) -> DataFrame:
+    """Distinct tokens (column ``word``) to correct: not in the dictionary, with a letter, of
+    ``min_length`` characters at least, and near enough in length to reach its longest word by two edits."""
     longest = dictionary.agg(F.max(F.length("word")) + 2).scalar()
     return (
         tokens.select("word")
-        .where((F.length("word") > 1) & F.col("word").rlike(r"\p{L}"))
+        .where((F.length("word") >= min_length) & F.col("word").rlike(r"\p{L}"))
         .where(F.length("word") <= longest)
         .distinct()
         .join(dictionary.select("word"), "word", "left_anti")
@@ -130,64 +143,43 @@ def _fanned(words: DataFrame) -> DataFrame:
     return words.repartition(max(cores, words.count() // WORDS_PER_TASK))
 
 
-def _best(words: DataFrame, keys: Column, target_keys: Column, ranked: DataFrame) -> DataFrame:
-    """(word, rank): the best dictionary word that shares a key.
-
-    The many keys of the unknown words stream past hash tables of the dictionary's
-    keys, one per shuffle partition, instead of being sorted for a merge.
-    """
-    reach = (
-        _fanned(ranked)
-        .select(F.explode(target_keys).alias("key"), "rank")
-        .groupBy("key")
-        .agg(F.min("rank").alias("rank"))
-    )
-    return (
-        _fanned(words)
-        .select("word", F.explode(keys).alias("key"))
-        .join(reach.hint("shuffle_hash"), "key")
-        .groupBy("word")
-        .agg(F.min("rank").alias("rank"))
-    )
+def _best(keys: DataFrame, targets: DataFrame) -> DataFrame:
+    """(word, rank): the best dictionary word that shares a key, from (word, key) and (rank, key)."""
+    reach = targets.groupBy("key").agg(F.min("rank").alias("rank"))
+    return keys.join(reach, "key").groupBy("word").agg(F.min("rank").alias("rank"))
 
 
-def candidates(unknown: DataFrame, dictionary: DataFrame, alphabet: str | None = None) -> DataFrame:
+def candidates(unknown: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(word, tier, candidate, freq) for the unknown words with a dictionary word in reach;
     two edits are tried only where one edit finds nothing."""
     word = F.col("word")
     ranked, unknown = _ranked(dictionary), stage(unknown.select("word"), "unknown")
-    near = stage(_best(unknown, _keys(word, True), _keys(word, False), ranked), "near")
+    near_keys = _fanned(unknown).select("word", F.explode(_keys(word, True)).alias("key"))
+    near_targets = _fanned(ranked).select("rank", F.explode(_keys(word, False)).alias("key"))
+    near = stage(_best(near_keys, near_targets), "near")
     rest = stage(unknown.join(near, "word", "left_anti"), "rest")
-    edits = one_edit(word, alphabet or ALPHABET)
-    far = _best(rest, edits, edits, ranked)
+    far = _best(_far_keys(_fanned(rest), "word", True), _far_keys(_fanned(ranked), "rank", False))
     found = near.withColumn("tier", F.lit(1)).unionByName(far.withColumn("tier", F.lit(2)))
     named = ranked.select("rank", F.col("word").alias("candidate"), "freq")
     return found.join(named, "rank").select("word", "tier", "candidate", "freq")
 
 
-def corrections(unknown: DataFrame, dictionary: DataFrame, alphabet: str | None = None) -> DataFrame:
+def corrections(unknown: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(word, correction) for the unknown words that have a candidate."""
-    found = candidates(unknown, dictionary, alphabet)
-    return found.select("word", F.col("candidate").alias("correction"))
+    return candidates(unknown, dictionary).select("word", F.col("candidate").alias("correction"))
+
 
+def correct_texts(df: DataFrame, dictionary: DataFrame, column: str = "cleaned_text", min_length: int = 1) -> DataFrame:
+    """Rewrite ``column`` with its unknown tokens corrected, all other columns kept.
 
-def correct_texts(
-    df: DataFrame, dictionary: DataFrame, column: str = "cleaned_text", alphabet: str | None = None
-) -> DataFrame:
-    """Rewrite ``column`` with its unknown tokens corrected, all other columns kept."""
+    A text that needs a correction gets one small map of its fixes; the others are never shuffled by a token.
+    """
     dictionary = stage(dictionary, "dictionary")
-    placed = df.select(
-        "id", F.posexplode(tx.tokens(tx.squash(F.coalesce(F.col(column), F.lit(""))))).alias("pos", "word")
-    )
-    fixes = corrections(unknown_tokens(placed, dictionary), dictionary, alphabet)
-    fixed = attach(placed, fixes, "word").select(
-        "id", F.struct("pos", F.coalesce("correction", "word").alias("w")).alias("t")
-    )
-    rebuilt = fixed.groupBy("id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("t")), lambda t: t["w"]), " ").alias("_fixed")
-    )
-    return (
-        df.join(rebuilt, "id", "left")
-        .withColumn(column, F.coalesce("_fixed", F.lit("")))
-        .select(*df.columns)
-    )
+    squashed = tx.squash(F.coalesce(F.col(column), F.lit("")))
+    used = df.select("id", F.explode(F.array_distinct(tx.tokens(squashed))).alias("word"))
+    fixes = corrections(unknown_tokens(used, dictionary, min_length), dictionary)
+    found = attach(used, fixes, "word", how="inner")
+    maps = found.groupBy("id").agg(F.map_from_entries(F.collect_set(F.struct("word", "correction"))).alias("_fixes"))
+    fixed = F.transform(tx.tokens(squashed), lambda w: F.coalesce(F.try_element_at("_fixes", w), w))
+    new = F.when(F.col("_fixes").isNull(), squashed).otherwise(F.array_join(fixed, " "))
+    return df.join(maps, "id", "left").withColumn(column, new).select(*[F.col(f"`{c}`") for c in df.columns])

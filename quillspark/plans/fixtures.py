@@ -29,6 +29,7 @@ DIALECT = {
         r"explode(regexp_extract_all(lower(text), r'\p{L}+', 0))",
         r"unnest(regexp_extract_all(lower(text), '\p{L}+'))",
     ),
+    "@EACH@": ("explode", "unnest"),
     "@TAB@": (r"'\t'", "chr(9)"),
     "@ANY@": ("any_value", "any_value"),
 }
@@ -62,34 +63,36 @@ VIEWS = {
     "vocabulary": """
         SELECT lang, w, n, @HASH@ AS h
         FROM (SELECT lang, w, count(*) AS n FROM (SELECT lang, @WORDS@ AS w FROM documents) words
-              WHERE length(w) >= 2 GROUP BY lang, w) counted""",
+              GROUP BY lang, w) counted""",
     "phrases": """
         SELECT w, @HASH@ AS h FROM (
           SELECT DISTINCT w FROM (
-            SELECT regexp_extract(lower(text), '([a-z]+ [a-z]+)', 1) AS w FROM benchmark
-            UNION ALL SELECT regexp_extract(lower(text), '([a-z]+, [a-z]+)', 1) FROM benchmark) found
-          WHERE w <> '' AND regexp_extract(w, '^([a-z]+)', 1) <> regexp_extract(w, '([a-z]+)$', 1)) kept""",
+            SELECT @EACH@(regexp_extract_all(lower(text), '([a-z]+ [a-z]+)', 1)) AS w FROM benchmark
+            UNION ALL SELECT @EACH@(regexp_extract_all(lower(text), '([a-z]+, [a-z]+)', 1)) FROM benchmark) found) kept""",
     "slang": """
         SELECT w AS term, CAST(h % 5 - 2 AS INT) AS score, h AS load_order
-        FROM vocabulary WHERE lang = 'en' AND n >= 2
+        FROM vocabulary WHERE lang = 'en'
         UNION ALL SELECT w, CAST(2 - h % 5 AS INT), h + 1000000000
-        FROM vocabulary WHERE lang = 'en' AND n >= 2 AND w LIKE 't%'
+        FROM vocabulary WHERE lang = 'en' AND w LIKE 't%'
         UNION ALL SELECT w, CAST(h % 3 - 1 AS INT), h + 2000000000 FROM phrases""",
     "stop_words": "SELECT w AS word FROM vocabulary WHERE lang = 'en' AND length(w) <= 3",
     "emotions": f"""
-        SELECT w AS word, {_FIRST} AS emotion FROM vocabulary WHERE lang = 'en' AND n >= 2
-        UNION ALL SELECT w, {_SECOND} FROM vocabulary WHERE lang = 'en' AND n >= 2 AND w LIKE '%e'""",
+        SELECT w AS word, {_FIRST} AS emotion FROM vocabulary WHERE lang = 'en'
+        UNION ALL SELECT w, {_SECOND} FROM vocabulary WHERE lang = 'en' AND w LIKE '%e'""",
     "emotions_es": f"""
-        SELECT w AS word, {_FIRST} AS emotion, upper(w) AS en_word FROM vocabulary WHERE lang = 'es' AND n >= 2
+        SELECT w AS word, {_FIRST} AS emotion, upper(w) AS en_word FROM vocabulary WHERE lang = 'es'
         UNION ALL SELECT w, {_SECOND}, concat(upper(w), '2') FROM vocabulary
-        WHERE lang = 'es' AND n >= 2 AND w LIKE '%e'
-        UNION ALL SELECT w, {_FIRST}, upper(w) FROM vocabulary WHERE lang = 'es' AND n >= 2 AND w LIKE 'e%'""",
+        WHERE lang = 'es' AND w LIKE '%e'
+        UNION ALL SELECT w, {_FIRST}, upper(w) FROM vocabulary WHERE lang = 'es' AND w LIKE 'e%'""",
     "phrase_emotions": f"SELECT w AS word, {_FIRST} AS emotion FROM phrases",
     "polarity": """
-        SELECT concat(w, @TAB@, 'x', @TAB@, CASE h % 4 WHEN 0 THEN 'pos' WHEN 1 THEN 'neg'
-            WHEN 2 THEN concat('pos', @TAB@, 'pos') ELSE concat('pos', @TAB@, 'neg') END) AS line,
+        SELECT concat(w, @TAB@, 'x', @TAB@, CASE h % 6 WHEN 0 THEN 'pos' WHEN 1 THEN 'neg'
+            WHEN 2 THEN concat('pos', @TAB@, 'pos') WHEN 3 THEN concat('pos', @TAB@, 'neg')
+            WHEN 4 THEN concat('neg', @TAB@, 'pos') ELSE concat('neg', @TAB@, 'neg') END) AS line,
           h AS load_order
-        FROM vocabulary WHERE lang = 'es' AND n >= 2""",
+        FROM vocabulary WHERE lang = 'es'
+        UNION ALL SELECT concat(w, @TAB@, 'x', @TAB@, CASE h % 2 WHEN 0 THEN 'neg' ELSE 'pos' END), h + 1000000000
+        FROM vocabulary WHERE lang = 'es' AND w LIKE 'a%'""",
     "vectors": """
         SELECT v.w AS word, e.embedding AS vec
         FROM (SELECT DISTINCT w, h FROM vocabulary WHERE lang IN ('en', 'es')) v

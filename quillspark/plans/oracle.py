@@ -67,9 +67,9 @@ CLEANING = {
     "last_slang": "SELECT term, arg_max(score, load_order) AS score FROM slang GROUP BY term",
     "kept_slang": "SELECT term, score FROM last_slang WHERE term NOT IN (SELECT word FROM stop_words)",
     "polarity_terms": """
-        SELECT string_split(line, chr(9))[1] AS term,
-          CASE WHEN line LIKE '%pos' || chr(9) || 'neg' THEN 0 WHEN line LIKE '%pos' THEN 1 ELSE -1 END AS score
-        FROM polarity""",
+        SELECT f[1] AS term, arg_max(CASE WHEN len(f) > 3 AND f[4] <> f[3] THEN 0 WHEN f[3] = 'pos' THEN 1 ELSE -1 END,
+          load_order) AS score
+        FROM (SELECT string_split(line, chr(9)) AS f, load_order FROM polarity) GROUP BY f[1]""",
     "runs": f"""
         SELECT id, i, r, lead(r) OVER (PARTITION BY id ORDER BY i) AS gap,
           lead(r, 2) OVER (PARTITION BY id ORDER BY i) AS r2
@@ -77,7 +77,13 @@ CLEANING = {
               FROM (SELECT id, regexp_extract_all(cleaned_text, '[{WORD}]+|[^{WORD}]+') AS l FROM cleaned))""",
     "units": f"""
         SELECT id, r AS unit FROM runs WHERE regexp_matches(r, '^[{WORD}]')
-        UNION ALL SELECT id, r || gap || r2 FROM runs WHERE regexp_matches(r, '^[{WORD}]') AND r2 IS NOT NULL""",
+        UNION ALL SELECT id, r || gap || r2 FROM runs
+        WHERE regexp_matches(r, '^[{WORD}]') AND r2 IS NOT NULL AND r <> r2
+        UNION ALL SELECT id, unit FROM (
+          SELECT id, unit, row_number() OVER (PARTITION BY id, unit, chain ORDER BY i) AS k FROM (
+            SELECT id, r || gap || r2 AS unit, i,
+              i - 2 * row_number() OVER (PARTITION BY id, r || gap || r2 ORDER BY i) AS chain
+            FROM runs WHERE regexp_matches(r, '^[{WORD}]') AND r = r2)) WHERE k % 2 = 1""",
     "word_pieces": f"SELECT id, language, unnest(regexp_extract_all(cleaned_text, '{TOKEN}')) AS word FROM cleaned",
     "flagged": "SELECT DISTINCT word, emotion FROM emotions",
     "flagged_es": "SELECT DISTINCT word, emotion FROM emotions_es",
@@ -114,14 +120,20 @@ CLEANING = {
         SELECT id, unnest(l) AS word, unnest(range(len(l))) AS pos
         FROM (SELECT id, string_split(cleaned_text, ' ') AS l FROM stripped_texts)""",
     "dictionary": f"""
-        SELECT word, count(*) AS freq FROM spell_tokens WHERE regexp_full_match(word, '[a-z]{{2,}}')
+        SELECT word, count(*) AS freq FROM spell_tokens WHERE regexp_full_match(word, '\\p{{L}}+')
         GROUP BY word HAVING count(*) >= {MIN_COUNT}""",
     "unknown": r"""
-        SELECT DISTINCT word FROM spell_tokens WHERE length(word) > 1 AND regexp_matches(word, '\p{L}')
+        SELECT DISTINCT word FROM spell_tokens WHERE regexp_matches(word, '\p{L}')
           AND length(word) <= (SELECT max(length(word)) + 2 FROM dictionary)
           AND word NOT IN (SELECT word FROM dictionary)""",
-    "spelled": "SELECT word, 0 AS freq FROM unknown UNION ALL SELECT word, freq FROM dictionary",
-    "letters": "SELECT unnest(string_split('abcdefghijklmnopqrstuvwxyz', '')) AS c",
+    # a character that no known word holds can only go or be replaced: one sign stands for all of them
+    "known_letters": "SELECT DISTINCT unnest(string_split(word, '')) AS c FROM dictionary",
+    "renamed": """
+        SELECT origin, string_agg(coalesce(k.c, chr(1)), '' ORDER BY i) AS word
+        FROM (SELECT word AS origin, unnest(string_split(word, '')) AS c, unnest(range(length(word))) AS i FROM unknown) u
+        LEFT JOIN known_letters k ON u.c = k.c GROUP BY origin""",
+    "spelled": "SELECT DISTINCT word, 0 AS freq FROM renamed UNION ALL SELECT word, freq FROM dictionary",
+    "letters": "SELECT c FROM known_letters UNION ALL SELECT chr(1)",
     "cuts": "SELECT word, freq, unnest(range(length(word) + 1)) AS i FROM spelled",
     "edits": """
         SELECT word, freq, word[:i] || word[i+2:] AS middle FROM cuts WHERE i < length(word)
@@ -135,8 +147,9 @@ CLEANING = {
         WHERE e.freq = 0
         UNION ALL SELECT e.word, 2, r.candidate, r.freq FROM edits e JOIN reached r ON e.middle = r.middle
         WHERE e.freq = 0""",
-    "spell_best": "SELECT word, min(tier) AS tier, arg_min(candidate, (tier, -freq, candidate)) AS candidate, "
+    "spell_found": "SELECT word, min(tier) AS tier, arg_min(candidate, (tier, -freq, candidate)) AS candidate, "
     "arg_min(freq, (tier, -freq, candidate)) AS freq FROM spell_options GROUP BY word",
+    "spell_best": "SELECT r.origin AS word, f.tier, f.candidate, f.freq FROM renamed r JOIN spell_found f ON r.word = f.word",
     "spell_fixes": "SELECT word, candidate AS correction FROM spell_best",
 }
 
@@ -297,7 +310,7 @@ def _queries() -> dict[str, str]:
         "clean_en": f"SELECT {_CLEAN_COLUMNS} FROM cleaned WHERE language = 'en'",
         "clean_es": f"SELECT {_CLEAN_COLUMNS} FROM cleaned WHERE language = 'es'",
         "token_length_hist": "SELECT tokens, count(*) AS n, max(max(tokens)) OVER () AS longest FROM "
-        "(SELECT least(CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' ')) END, 128) AS tokens FROM squashed) "
+        "(SELECT CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' ')) END AS tokens FROM squashed) "
         "GROUP BY tokens",
         "head_rows": "SELECT id, language, HS, TR, AG FROM tweets ORDER BY id LIMIT 5",
         "spell_candidates": "SELECT word, tier, candidate, freq FROM spell_best",
@@ -311,6 +324,7 @@ def _queries() -> dict[str, str]:
         "class_counts": "SELECT Target, count(*) AS n FROM targets GROUP BY Target",
         "class_deficit": "SELECT Target, count(*) AS n, max(count(*)) OVER () - count(*) AS deficit "
         "FROM targets GROUP BY Target",
+        "class_balance_support": "SELECT Target, max(count(*)) OVER () AS n, 0 AS unmatched FROM targets GROUP BY Target",
         "class_weights": "SELECT Target, (SELECT count(*) FROM targets) / "
         "((SELECT count(DISTINCT Target) FROM targets) * count(*))::DOUBLE AS weight FROM targets GROUP BY Target",
         "lexicon_last_wins": "SELECT term, score FROM last_slang",
@@ -378,7 +392,11 @@ def _queries() -> dict[str, str]:
 
 
 def oracle_queries() -> dict[str, str]:
-    return {name: with_clause(text, "check", CLEANING) for name, text in _queries().items()}
+    out = {name: with_clause(text, "check", CLEANING) for name, text in _queries().items()}
+    spanish = {**CLEANING, "stripped_texts": CLEANING["stripped_texts"].replace("'en'", "'es'")}
+    for name, text in (("spell_candidates_es", "SELECT * FROM spell_best"), ("spell_correct_es", _spell_output())):
+        out[name] = with_clause(text, "check", spanish)
+    return out
 
 
 __all__ = ["CLASSES", "PLAIN_FEATURES", "oracle_queries"]

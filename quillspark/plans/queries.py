@@ -17,7 +17,7 @@ from quillspark.operators import normalize as nm
 from quillspark.operators import spelling as sp
 from quillspark.operators import stacking as st
 from quillspark.operators import vectors as vx
-from quillspark.operators.cleaning import clean, clean_language, stripped
+from quillspark.operators.cleaning import clean, clean_language, stripped, token_lengths
 from quillspark.operators.extended import fit_extended, training_set
 from quillspark.plans import job
 from quillspark.plans.features import feature_vectors, fit_features
@@ -200,9 +200,7 @@ def clean_es(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def token_length_hist(spark: SparkSession, sf: str) -> DataFrame:
-    lengths = _squashed(spark, sf).select(F.least(F.size(tx.tokens(F.col("t"))), F.lit(128)).alias("tokens"))
-    counts = lengths.groupBy("tokens").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select("tokens", "n", counts.agg(F.max("tokens")).scalar().alias("longest"))
+    return token_lengths(_squashed(spark, sf), "t")
 
 
 @query
@@ -213,11 +211,11 @@ def head_rows(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- spelling
 
 
-def _spelling_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """English cleaned texts, their tokens, and the dictionary of their frequent plain words."""
-    texts = stage(stripped(view(spark, sf, "posts").where("language = 'en'")).select("id", "cleaned_text"), "texts")
+def _spelling_inputs(spark: SparkSession, sf: str, language: str = "en") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cleaned texts of a language, their tokens, and the dictionary of their frequent words."""
+    texts = stage(stripped(view(spark, sf, "posts").where(F.col("language") == language)).select("id", "cleaned_text"), "texts")
     tokens = texts.select("id", F.explode(tx.tokens(F.col("cleaned_text"))).alias("word"))
-    dictionary = sp.build_dictionary(tokens.where(F.col("word").rlike("^[a-z]{2,}$")), MIN_COUNT)
+    dictionary = sp.build_dictionary(tokens.where(F.col("word").rlike(r"^\p{L}+$")), MIN_COUNT)
     return texts, tokens, stage(dictionary, "dictionary")
 
 
@@ -233,6 +231,18 @@ def spell_correct(spark: SparkSession, sf: str) -> DataFrame:
     return sp.correct_texts(texts, dictionary)
 
 
+@query
+def spell_candidates_es(spark: SparkSession, sf: str) -> DataFrame:
+    _, tokens, dictionary = _spelling_inputs(spark, sf, "es")
+    return sp.candidates(sp.unknown_tokens(tokens, dictionary), dictionary)
+
+
+@query
+def spell_correct_es(spark: SparkSession, sf: str) -> DataFrame:
+    texts, _, dictionary = _spelling_inputs(spark, sf, "es")
+    return sp.correct_texts(texts, dictionary)
+
+
 # ---------------------------------------------------------------- labels
 
 
@@ -276,6 +286,18 @@ def class_balance(spark: SparkSession, sf: str) -> DataFrame:
     return bl.balance(cleaned.select("percent_capitals", *[f"`{c}`" for c in COUNTS], "Target"))
 
 
+@query
+def class_balance_support(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each balanced class, and how many come from no original: their noise is far below half a count."""
+    cleaned = clean(view(spark, sf, "tweets")).withColumn("Target", lb.encode_target())
+    rows = stage(cleaned.select(*[f"`{c}`" for c in COUNTS], "Target"), "counts")
+    names = [f"k{i}" for i in range(len(COUNTS))]
+    real = rows.select("Target", *[F.col(f"`{c}`").cast("long").alias(k) for c, k in zip(COUNTS, names)]).distinct()
+    drawn = bl.balance(rows).select("Target", *[F.round(f"`{c}`").cast("long").alias(k) for c, k in zip(COUNTS, names)])
+    joined = drawn.join(real.withColumn("real", F.lit(1)), ["Target", *names], "left")
+    return joined.groupBy("Target").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("real").isNull()).alias("unmatched"))
+
+
 @query
 def baseline_mode(spark: SparkSession, sf: str) -> DataFrame:
     return md.label_modes(view(spark, sf, "tweets").where("split = 'train'"))

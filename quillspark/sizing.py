@@ -71,14 +71,15 @@ def lookup(
     """Join ``occurrences`` (key, word) to ``side``, one or more rows per word.
 
     Returns key, word, ``n`` (occurrences the row stands for) and the columns
-    of ``side``. Under the bound each occurrence stays a row (n = 1), because
-    the aggregate by key that follows combines them before its shuffle.
+    of ``side``. Each occurrence is a row (n = 1) whatever the size of ``side``; the
+    aggregate by key that follows combines them before its shuffle.
     """
     side = side if isinstance(side, Side) else written(side)
     if side.fits(limit):
         return occurrences.withColumn("n", F.lit(1)).join(F.broadcast(side.table), on, how)
     counted = occurrences.groupBy(*occurrences.columns).agg(F.count(F.lit(1)).cast("int").alias("n"))
-    return salted(counted, side.table, on, key, how, salts)
+    joined = salted(counted, side.table, on, key, how, salts)
+    return joined.withColumn("n", F.explode(F.array_repeat(F.lit(1), F.col("n"))))
 
 
 def attach(

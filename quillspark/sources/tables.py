@@ -30,9 +30,9 @@ def _load_order() -> F.Column:
 
 
 def read_tsv(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False, mode: str = "PERMISSIVE"
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False, mode: str = "FAILFAST"
 ) -> DataFrame:
-    """Tab-separated file or folder with a header row.
+    """Tab-separated file or folder with a header row; a field that doesn't fit the schema is an error.
 
     ``multi_line`` accepts quoted line breaks, at the price that one file is then
     read by one task; keep it off for large single files.
@@ -72,7 +72,7 @@ def load_data(
 
 def read_slang(spark: SparkSession, path: str) -> DataFrame:
     """(term, score, load_order) from a two-column TSV without header."""
-    rows = spark.read.schema(SLANG).options(**TSV).csv(path)
+    rows = spark.read.schema(SLANG).options(**TSV).csv(path, mode="FAILFAST")
     return rows.select("term", "score", _load_order().alias("load_order"))
 
 
