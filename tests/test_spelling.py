@@ -48,3 +48,23 @@ def test_texts(spark):
 def test_dictionary(spark):
     words = spark.createDataFrame([("a",)] * 3 + [("b",)], "word string")
     assert [tuple(r) for r in sp.build_dictionary(words, 2).collect()] == [("a", 3)]
+
+
+def test_letters_of_any_alphabet(spark):
+    dictionary = spark.createDataFrame([("ñandú", 4), ("año", 3), ("жизнь", 2)], "word string, freq long")
+    words = spark.createDataFrame([(w,) for w in ("nandu", "anos", "жызн", "ßandñ", "zzzz")], "word string")
+    got = {r["word"]: (r["tier"], r["candidate"]) for r in sp.candidates(words, dictionary).collect()}
+    assert got == {"nandu": (2, "ñandú"), "anos": (2, "año"), "жызн": (2, "жизнь"), "ßandñ": (2, "ñandú")}
+
+
+def test_swap_then_insertion(spark):
+    dictionary = spark.createDataFrame([("abc", 1), ("xyzw", 1)], "word string, freq long")
+    words = spark.createDataFrame([("ca",), ("yxwz",)], "word string")
+    assert {r["word"]: r["correction"] for r in sp.corrections(words, dictionary).collect()} == {"ca": "abc", "yxwz": "xyzw"}
+
+
+def test_one_letter_tokens_by_parameter(spark):
+    dictionary = spark.createDataFrame([("you", 9), ("are", 5)], "word string, freq long")
+    texts = spark.createDataFrame([(1, "u r 7")], "id long, cleaned_text string")
+    assert sp.correct_texts(texts, dictionary).first()["cleaned_text"] == "you are 7"
+    assert sp.correct_texts(texts, dictionary, min_length=2).first()["cleaned_text"] == "u r 7"

@@ -80,3 +80,22 @@ def test_index_is_dense(spark):
     indexed = bl._indexed(df, "Target")
     for label, size in (("a", 33), ("b", 17)):
         assert sorted(r["_idx"] for r in indexed.where(f"Target = '{label}'").collect()) == list(range(size))
+
+
+def test_balance_does_not_depend_on_partitions(spark):
+    rows = [(float(i % 7), float(i), "HS" if i % 9 == 0 else "NotHS") for i in range(50)]
+    df = spark.createDataFrame(rows, "x double, y double, Target string")
+    first, second = (sorted(map(tuple, bl.balance(df.repartition(n)).collect())) for n in (2, 5))
+    assert first == second and len(first) == 88
+    other = sorted(map(tuple, bl.balance(df, seed=1).collect()))
+    assert other != first
+    ordered = [[tuple(r) for r in bl.balance(df.repartition(n), shuffled=True).collect()] for n in (2, 5)]
+    assert sorted(ordered[0]) == first and ordered[0] == ordered[1]
+
+
+def test_noise_is_normal(spark):
+    df = spark.createDataFrame([(0.0, "NotHS")] * 2000 + [(5.0, "HS")], "x double, Target string")
+    drawn = [r["x"] - 5.0 for r in bl.balance(df, jitter=1.0).where("Target = 'HS'").collect() if r["x"] != 5.0]
+    mean = sum(drawn) / len(drawn)
+    spread = (sum((x - mean) ** 2 for x in drawn) / len(drawn)) ** 0.5
+    assert len(drawn) == 1999 and abs(mean) < 0.1 and abs(spread - 1.0) < 0.06
