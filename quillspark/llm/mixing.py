@@ -137,8 +137,9 @@ def apply_copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: flo
     keyed = docs.withColumn("_key", F.xxhash64(*[docs[c] for c in docs.columns]))
     sized = keyed.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.col("_key").alias("key"))
     taken = mix_sized(stage(sized, "mix-sizes"), weights, share, cap).where("copies > 0")
-    copies = taken.groupBy(F.col("key").alias("_k")).agg(F.sum("copies").cast("int").alias("_copies"))
-    # identical rows share a key: one of them stands for all, as often as all are taken
-    once = keyed.groupBy("_key").agg(F.first(F.struct(*docs.columns)).alias("_row"))
-    joined = once.join(copies, F.col("_key") == F.col("_k")).select("_row", F.explode(F.sequence(F.lit(1), "_copies")).alias("_time"))
+    copies = taken.groupBy(F.col("key").alias("_k"), F.col("doc_id").alias("_d")).agg(F.sum("copies").cast("int").alias("_copies"))
+    # identical rows share id and key: one of them stands for all, as often as all are taken; a clash of two keys alone joins nothing
+    once = keyed.groupBy("_key", F.col("doc_id").alias("_id")).agg(F.first(F.struct(*docs.columns)).alias("_row"))
+    same = (F.col("_key") == F.col("_k")) & F.col("_id").eqNullSafe(F.col("_d"))
+    joined = once.join(copies, same).select("_row", F.explode(F.sequence(F.lit(1), "_copies")).alias("_time"))
     return joined.select("_row.*")
