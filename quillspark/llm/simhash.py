@@ -209,12 +209,21 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, buck
     Of a component only the chosen (doc_id, fingerprint, text hash) is kept, by aggregates that combine
     before their shuffle; of identical rows one stays.
     """
-    named = docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns}).withColumns({"text": F.col("in_text"), "doc_id": F.col("in_doc_id"), "tid": F.xxhash64("in_text")})
+    named = named_texts(docs)
     rows = stage(fingerprints(named, ["doc_id", "tid"], shingle), "simhash")
     classes = _classes(rows, radius, bucket)
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("tid").alias("t"), F.col("fp").alias("f")))
     chosen = rows.groupBy("fp").agg(pick.alias("p")).join(classes, "fp").groupBy("root").agg(F.min("p").alias("p")).select("p.i", "p.t")
-    chosen = stage(chosen, "simhash-chosen")
+    return chosen_rows(docs, named, stage(chosen, "simhash-chosen"))
+
+
+def named_texts(docs: DataFrame) -> DataFrame:
+    """All columns as in_*, besides text, doc_id and a hash ``tid`` of the text."""
+    return docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns}).withColumns({"text": F.col("in_text"), "doc_id": F.col("in_doc_id"), "tid": F.xxhash64("in_text")})
+
+
+def chosen_rows(docs: DataFrame, named: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The documents of the chosen (i, t), with the columns of ``docs``; of identical rows one stays."""
     kept = named.join(chosen, named["doc_id"].eqNullSafe(chosen["i"]) & (named["tid"] == chosen["t"]), "left_semi")
     # rows that repeat a chosen (doc_id, text): the first by their other columns
     others = [f"in_{c}" for c in docs.columns if c not in ("doc_id", "text")]

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from conftest import awkward_rows
 
-from quillspark.llm import decontaminate, line_dedup, mixing, packing, quality_rules, quality_trees, simhash, statistics, suffix_dedup, tool_chat, toxicity
+from quillspark.llm import decontaminate, line_dedup, mixing, near_copies, packing, quality_rules, quality_trees, simhash, statistics, suffix_dedup, tool_chat, toxicity
 from quillspark.llm.common import held_out, read
 
 SMALL = "/root/testdata/sf0.01"
@@ -84,6 +84,59 @@ def test_simhash_empty(nothing):
     assert simhash.near_duplicates(nothing).count() == 0 and simhash.keep_one(nothing).count() == 0
 
 
+# pipeline: near copies at five-word similarity 0.8
+def _shingle_sets(rows):
+    out = []
+    for _, t in rows:
+        w = brute.SPACED.findall((t or "").translate(brute.LOWER))
+        out.append({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    return out
+
+
+@pytest.mark.parametrize("blocks", [(near_copies.BLOCK_TEXTS, near_copies.BLOCK_SHINGLES), (7, 1 << 20), (512, 3000)])
+def test_near_copies(spark, blocks):
+    rng, rows = random.Random(8), texts()
+    for k in range(25):  # chains of copies at similarities around 0.8
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([3, 6, 40, 150, 400]))]
+        for c in range(6):
+            rows.append((2000 + 10 * k + c, " ".join(words)))
+            for _ in range(rng.randint(0, max(1, len(words) // 45))):
+                words[rng.randrange(len(words))] = f"Z{rng.randint(0, 99)}"
+    sets = _shingle_sets(rows)
+    parent = list(range(len(rows)))
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    far = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                far += (brute.fingerprint(rows[i][1]) ^ brute.fingerprint(rows[j][1])).bit_count() > simhash.RADIUS
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        r = find(i)
+        least[r] = min(least.get(r, (True, 0)), (d is None, d or 0))
+    assert far > 20  # links that fingerprints within 3 bits don't have
+    kept = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), *blocks).collect()
+    assert bag((r.doc_id,) for r in kept) == bag((None if n else d,) for n, d in least.values())
+
+
+def test_near_copies_empty(nothing):
+    assert near_copies.keep_one(nothing).count() == 0
+
+
+def test_pipeline_drops_near_copies(spark):
+    import corpus_pipeline
+
+    words = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(words[:at] + ["other"] + words[at + 1 :]), "en", "s", 1) for k, at in enumerate([0, 59, 1, 58])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()] == [0]
+
+
 # 6: repeated byte strings
 @pytest.mark.parametrize(("seeds", "hot"), [(suffix_dedup.SEEDS, suffix_dedup.HOT), ((24, 60, 95), 1)])
 def test_suffix_dedup(spark, awkward, seeds, hot):
