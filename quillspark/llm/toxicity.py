@@ -3,10 +3,11 @@
 A sentence with the features x has the probability p = sigmoid(w.x + BIAS); a document is toxic with
 1 - prod(1 - p), the noisy-or of its sentences. Weights are learned from document labels alone, by
 proximal gradient steps on the document likelihood, and then say which sentences offend. The bias
-is fixed and low, so that thousands of sentences without evidence don't add up to a verdict.
+is fixed and low. A sentence without any feature has probability 0, in the fit as in the scores, so
+that no number of sentences without evidence adds up to a verdict.
 
 Features are words (letters, digits and non-ASCII characters, A-Z in lower case) and their first 4, 5 and
-6 bytes, as 64-bit hashes; a sentence ends at ``.``, ``!``, ``?`` or a line break.
+6 bytes, as 64-bit hashes; a sentence ends at ``!``, ``?``, a line break, or a ``.`` before a blank or the end.
 
 The fit reads a bounded sample of labelled texts (``common.labelled_sample``): at most 3,000 of each
 class, none over 64 KiB. Features are counted on the executors, the ``FEATURES`` that tell the classes
@@ -38,7 +39,7 @@ FEATURES, MIN_DOCS = 4096, 5
 BIAS = -12.0
 STEPS, STEP, LASSO = 300, 0.3, 3e-5
 _FILTER_BITS = 20
-_ENDS = np.isin(np.arange(256), list(b".!?\n"))
+_ENDS = np.isin(np.arange(256), list(b"!?\n"))
 
 
 @dataclass
@@ -74,8 +75,10 @@ def word_features(piece: K.Piece) -> tuple[list[np.ndarray], np.ndarray, np.ndar
 
 def sentences(piece: K.Piece, s: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sentence of each word, and the first word of each sentence."""
+    stop = piece.data == ord(".")  # the end of a text begins a sentence anyway
+    stop[:-1] &= ~K.SPACED[piece.data[1:]]
     ends = np.zeros(len(piece.data) + 1, np.int64)
-    np.cumsum(_ENDS[piece.data], out=ends[1:])
+    np.cumsum(_ENDS[piece.data] | stop, out=ends[1:])
     part = ends[s]
     new = np.ones(len(s), bool)
     new[1:] = (part[1:] != part[:-1]) | (row[1:] != row[:-1])
@@ -115,14 +118,14 @@ def screen(sample: DataFrame) -> DataFrame:
 
 
 def _instances(sample: DataFrame, model: ToxicModel) -> tuple[np.ndarray, ...]:
-    """Of every sampled document: label, weight and number of sentences, and pairs (sentence, feature)."""
+    """Of every sampled document: label, weight and pairs (sentence, feature)."""
     shared = sample.sparkSession.sparkContext.broadcast((model.features, model.weights))
 
     def make():
         mine = ToxicModel(*shared.value)
 
         def work(texts: pa.Array) -> list:
-            counts, sizes, pairs = [], [], []
+            sizes, pairs = [], []
             for piece in K.pieces(texts):
                 found, s, _, row = word_features(piece)
                 sentence, first = sentences(piece, s, row)
@@ -130,23 +133,22 @@ def _instances(sample: DataFrame, model: ToxicModel) -> tuple[np.ndarray, ...]:
                 hits = [mine.find(f) for f in found]
                 at, k = np.concatenate([h[0] for h in hits]), np.concatenate([h[1] for h in hits])
                 own = np.unique(np.stack([row[at], sentence[at] - head[row[at]], k], axis=1), axis=0)
-                counts.append(np.diff(head))
                 sizes.append(np.bincount(own[:, 0], minlength=piece.rows))
                 pairs.append(own[:, 1:] @ np.array([1 << 16, 1]))
             join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-            return [pa.array(join(counts), pa.int64()), K.lists(join(sizes), join(pairs), pa.int64())]
+            return [K.lists(join(sizes), join(pairs), pa.int64())]
 
         return work
 
-    fields = [T.StructField("n", T.LongType()), T.StructField("pairs", T.ArrayType(T.LongType()))]
-    return sorted(K.add_columns(sample, fields, make, ["doc_id", "y", "weight"]).collect(), key=lambda r: (r["doc_id"], r["n"], r["pairs"]))
+    fields = [T.StructField("pairs", T.ArrayType(T.LongType()))]
+    return sorted(K.add_columns(sample, fields, make, ["doc_id", "y", "weight"]).collect(), key=lambda r: (r["doc_id"], r["pairs"]))
 
 
 def fit_instances(rows: list, model: ToxicModel) -> ToxicModel:
     """Learn the weights: proximal gradient steps with a lasso term on the likelihood of the noisy-or.
 
-    ``rows`` have y, weight, n (sentences) and pairs (sentence << 16 | feature). Sentences without
-    a feature only enter through their number.
+    ``rows`` have y, weight and pairs (sentence << 16 | feature). Sentences without a feature have
+    probability 0 and don't enter.
     """
     y, share = np.array([r["y"] for r in rows], float), np.array([r["weight"] for r in rows], float)
     if not len(y) or y.min() == y.max():
@@ -157,14 +159,13 @@ def fit_instances(rows: list, model: ToxicModel) -> ToxicModel:
     names, sentence = np.unique((of << 32) | (pairs >> 16), return_inverse=True)
     doc, word = names >> 32, pairs & 0xFFFF
     n = len(model.weights)
-    rest = (np.array([r["n"] for r in rows]) - np.bincount(doc, minlength=len(y))) * np.log1p(-1 / (1 + np.exp(-BIAS)))
     # each feature's steps follow how many documents hold it; the threshold drops those of few
     held = np.unique(of * n + word)
     curve = 0.25 * np.bincount(held % n, share[held // n], minlength=n) + 1e-9
     w = np.clip(model.weights, 0, 4) * 2
     for _ in range(STEPS):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(sentence, w[word], minlength=len(doc)) + BIAS, -30, 30)))
-        none = rest + np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(y))
+        none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(y))
         pull = np.where(y == 1, -np.exp(none) / np.maximum(-np.expm1(none), 1e-9), 1.0) * share
         w -= STEP / curve * np.bincount(word, (pull[doc] * p)[sentence], minlength=n)
         w = np.clip(np.sign(w) * np.maximum(np.abs(w) - STEP / curve * LASSO, 0), -20, 20)
@@ -183,15 +184,16 @@ def sentence_scores(piece: K.Piece, model: ToxicModel) -> tuple[np.ndarray, ...]
     """Score, row, first and end byte of every sentence of a piece."""
     found, s, e, row = word_features(piece)
     sentence, first = sentences(piece, s, row)
-    z = np.full(len(first), BIAS)
+    z, held = np.full(len(first), BIAS), np.zeros(len(first), bool)
     hits = [model.find(f) for f in found]
     at, k = np.concatenate([h[0] for h in hits]), np.concatenate([h[1] for h in hits])
     if len(at):  # a feature counts once in a sentence, as in the fit
         own = np.unique(np.stack([sentence[at], k], axis=1), axis=0)
         z += np.bincount(own[:, 0], model.weights[own[:, 1]], minlength=len(first))
+        held[own[:, 0]] = True
     last = np.append(first[1:], len(s))[: len(first)] - 1
     of = row[first]
-    return 1 / (1 + np.exp(-np.clip(z, -30, 30))), of, s[first] - piece.offsets[of], e[last] - piece.offsets[of]
+    return np.where(held, 1 / (1 + np.exp(-np.clip(z, -30, 30))), 0.0), of, s[first] - piece.offsets[of], e[last] - piece.offsets[of]
 
 
 _SPANS = T.ArrayType(T.StructType([T.StructField("first_byte", T.LongType()), T.StructField("end_byte", T.LongType()), T.StructField("score", T.DoubleType())]))

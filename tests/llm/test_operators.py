@@ -217,6 +217,17 @@ def test_toxicity(spark, awkward, nothing):
     assert toxicity.reject(awkward, labels(spark)).columns == awkward.columns
 
 
+def test_toxicity_of_long_clean_texts(spark):
+    feature = toxicity.word_features(next(toxicity.K.pieces(toxicity.pa.array(["idiot"]))))[0][0]
+    model = toxicity.ToxicModel(feature, np.array([14.0]))
+    clean = ["All is well. " * 300_000, "1.5 2.25 " * 150_000, "Well! Is it?\n" * 100_000]
+    rows = [(k, t) for k, t in enumerate([*clean, clean[0] + "You idiot. " + clean[0], "v1.5 idiot at 2.5 here. And 3.5 more."])]
+    found = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model, ["doc_id"]).collect()}
+    assert [found[k].score for k in range(3)] == [0, 0, 0] and found[3].predicted == found[4].predicted == 1
+    assert [(s.first_byte, s.end_byte) for s in found[4].offending] == [(0, 22)]
+    assert found[3].score == pytest.approx(found[4].score)
+
+
 # 3: mixing
 def _targets(sizes, share=1.5, cap=2.0, weights=(5, 2, 1)):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
