@@ -8,6 +8,7 @@ functions expect (single blanks, none at the ends).
 
 from __future__ import annotations
 
+import re
 import string
 import unicodedata
 
@@ -27,6 +28,8 @@ PICTOGRAPH = (
     r"\x{a9}\x{ae}\x{203c}\x{2049}\x{2122}\x{2139}\x{2190}-\x{21ff}\x{2300}-\x{23ff}"
     r"\x{25a0}-\x{27bf}\x{2b00}-\x{2bff}\x{3030}\x{303d}\x{3297}\x{3299}\x{1f000}-\x{1faff}"
 )
+REGIONAL = r"\x{1f1e6}-\x{1f1ff}"
+KEYCAP = "0123456789#*"
 PICTOGRAPH_MARK = r"\x{fe0f}\x{1f3fb}-\x{1f3ff}"
 
 USER_TOKEN = "user"
@@ -108,21 +111,32 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"[{WORD}]+|[^{WORD}{BLANK}]"), 0)
 
 
+def _pictographs() -> list[int]:
+    """Code points of ``PICTOGRAPH``."""
+    spans = re.findall(r"\\x\{(\w+)\}(?:-\\x\{(\w+)\})?", PICTOGRAPH)
+    return [code for a, b in spans for code in range(int(a, 16), int(b or a, 16) + 1)]
+
+
 def default_emoji_names() -> dict[str, str]:
-    """Names of single-character pictographs, derived from the Unicode character names."""
+    """Names of all pictographs, skin tones, flags (by their letters) and keycaps, derived from the Unicode character names."""
     names = {}
-    for code in [*range(0x2600, 0x27C0), *range(0x1F300, 0x1FB00)]:
-        char = chr(code)
-        name = unicodedata.name(char, "")
-        if name and unicodedata.category(char) in ("So", "Sk"):
-            names[char] = name.lower().replace(" ", "_")
+    for code in _pictographs():
+        if name := unicodedata.name(chr(code), ""):
+            names[chr(code)] = name.lower().replace(" ", "_")
+    tones = ("light", "medium_light", "medium", "medium_dark", "dark")
+    names |= {chr(0x1F3FB + k): f"{tone}_skin_tone" for k, tone in enumerate(tones)}
+    letter = {x: chr(0x1F1E6 + k) for k, x in enumerate(string.ascii_lowercase)}
+    names |= {letter[a] + letter[b]: f"flag_{a}{b}" for a in letter for b in letter}
+    for char in KEYCAP:
+        name = "keycap_" + unicodedata.name(char).lower().replace(" ", "_").replace("digit_", "")
+        names |= {f"{char}\ufe0f\u20e3": name, f"{char}\u20e3": name}
     return names
 
 
 def emoji_named(text: Column, names: dict[str, str] | None = None) -> Column:
     """Write emoji as their names; afterwards every ``:`` and ``_`` is a blank.
 
-    ``names`` maps an emoji (one character or a joined sequence) to its name. A
+    ``names`` maps an emoji (one character, a flag, a keycap or a joined sequence) to its name. A
     sequence without an entry of its own is named character by character, and a
     pictograph without a name is kept. Only texts with a pictograph pay for the lookup.
     """
@@ -130,7 +144,12 @@ def emoji_named(text: Column, names: dict[str, str] | None = None) -> Column:
     encoded = "\x1e".join(f"{char}\x1f{name}" for char, name in table.items())
     lookup = F.str_to_map(F.lit(encoded), F.lit("\x1e"), F.lit("\x1f"))
     unit = f"[{PICTOGRAPH}][{PICTOGRAPH_MARK}]*"
-    sequence = f"{unit}(?:\\x{{200d}}{unit})*"
+    sequence = f"[{REGIONAL}]{{2}}|{unit}(?:\\x{{200d}}{unit})*"
+    capped = text
+    for char, name in table.items():
+        if char.endswith("\u20e3"):
+            capped = F.replace(capped, F.lit(char), F.lit(f":{name}:"))
+    text = F.when(text.contains("\u20e3"), capped).otherwise(text)
     pieces = F.regexp_extract_all(text, F.lit(f"{sequence}|[^{PICTOGRAPH}]+"), 0)
 
     def marked(name: Column) -> Column:

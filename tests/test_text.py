@@ -74,6 +74,18 @@ def test_emoji_names(spark):
     assert one(spark, "x❦y", lambda t: tx.emoji_named(t, {})) == "x❦y"
 
 
+def test_emoji_names_of_all_blocks(spark):
+    cases = {
+        "\u2b50": "white medium star", "\u231a": "watch", "\u23f0": "alarm clock", "\u2122\ufe0f": "trade mark sign", "\u00a9": "copyright sign",
+        "\u2139": "information source", "\U0001F1FA\U0001F1F8": "flag us", "\U0001F170": "negative squared latin capital letter a",
+        "1\ufe0f\u20e3": "keycap one", "#\u20e3": "keycap number sign", "\U0001F1EB": "regional indicator symbol letter f",
+        "\U0001F44D\U0001F3FD": "thumbs up sign  medium skin tone", "\U0001F1E9\U0001F1EA\U0001F1EB\U0001F1F7": "flag de  flag fr",
+    }
+    for emoji, name in cases.items():
+        assert one(spark, f"a{emoji}1", tx.emoji_named) == f"a {name} 1"
+    assert one(spark, "1\ufe0f\u20e3", lambda t: tx.emoji_named(t, {})) == "1\ufe0f\u20e3"
+
+
 def test_word_tokens(spark):
     assert one(spark, "don't stop, ñandú!!", tx.word_tokens) == ["don", "'", "t", "stop", ",", "ñandú", "!", "!"]
 
