@@ -33,6 +33,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int =
     clean = (
         labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("y"))
         .where(F.col("_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("_id")))
+        .groupBy("_id").agg(F.max("y").alias("y"))  # of contradictory labels, 1 counts
         .withColumn("_o", F.xxhash64("_id", F.lit(20)))
     )
     totals = {r["y"]: r["n"] for r in clean.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -41,6 +42,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int =
         part = clean.where(F.col("y") == y).orderBy("_o", "_id").limit(rows)
         part = part.withColumn("weight", F.lit(max(1.0, totals.get(y, 0) / rows)))
         chosen = part if chosen is None else chosen.unionByName(part)
-    chosen = chosen.groupBy("_id").agg(F.max("y").alias("y"), F.max("weight").alias("weight"))
+    chosen = chosen.select("_id", "y", "weight")
     texts = docs.select("doc_id", "text").where(F.octet_length("text") <= max_bytes)
     return texts.join(F.broadcast(chosen), texts["doc_id"] == chosen["_id"]).drop("_id")

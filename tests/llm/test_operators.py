@@ -1,6 +1,7 @@
 import collections
 import json
 import random
+import zlib
 
 import brute
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from conftest import awkward_rows
 
 from quillspark.llm import decontaminate, line_dedup, mixing, near_copies, packing, quality_rules, quality_trees, simhash, statistics, suffix_dedup, tool_chat, toxicity
-from quillspark.llm.common import held_out, read
+from quillspark.llm.common import held_out, labelled_sample, read
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -152,6 +153,17 @@ def test_suffix_dedup_empty(nothing):
     assert suffix_dedup.remove_repeats(nothing).count() == 0
 
 
+# 2, 8 and 9: the sample of labelled texts
+def test_sample_of_repeated_labels(spark):
+    ids = [k for k in range(600) if (zlib.crc32(str(k).encode()) % 3) != 1][:300]
+    rows = [(i, i % 2, 0) for i in ids] + [(i, i % 2, 0) for i in ids[:20] for _ in range(50)]
+    docs = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string")
+    found = labelled_sample(docs, labels(spark, rows), "quality", rows=40).collect()
+    sizes = collections.Counter(i % 2 for i in ids)
+    assert collections.Counter(r.y for r in found) == {0: 40, 1: 40} and len({r.doc_id for r in found}) == 80
+    assert all(r.weight == sizes[r.y] / 40 for r in found)
+
+
 # 8 and 9: quality
 def test_counts(awkward):
     found = statistics.with_counts(awkward, ["doc_id"]).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
