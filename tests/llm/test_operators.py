@@ -37,6 +37,13 @@ def test_decontaminate(spark, awkward, limit):
     assert bag(found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()) == bag(brute.contaminated(texts(), ITEMS))
 
 
+def test_decontaminate_slices_of_repeated_items(spark):
+    rows = [(k, f"item {k} of many") for k in range(30)] + [(7, "item 7 of many")] * 300
+    found = list(decontaminate.slices(spark.createDataFrame(rows, "item_id long, text string"), 400))
+    assert sorted(x for part in found for x in part) == sorted({(str(k), t) for k, t in rows})
+    assert max(len(part) for part in found) < 30
+
+
 def test_decontaminate_removal(spark, awkward, nothing):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     kept = decontaminate.without_documents(awkward, items)
