@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontaminate, line_dedup, mixing, packing, quality_rules, quality_trees, simhash, suffix_dedup, tool_chat, toxicity
+from quillspark.llm import byte_bpe, decontaminate, line_dedup, mixing, packing, quality_rules, quality_trees, simhash, suffix_dedup, tool_chat, toxicity
 from quillspark.llm.common import held_out, read
 
 
@@ -58,9 +58,16 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.summary(marked).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = byte_bpe.encode(read(spark, sf_dir, "documents"), ["doc_id"])
+    encoded = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"), "ids")
+    decoded = byte_bpe.decode(encoded, ["doc_id", "n_tokens", "ids_sha256"])
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_toxicity, op3_mixing, op4_packing, op5_tool_chat, op6_suffix_dedup, op7_simhash, op8_quality_trees, op9_quality_rules, op10_decontaminate)
+    for f in (op1_line_dedup, op2_toxicity, op3_mixing, op4_packing, op5_tool_chat, op6_suffix_dedup, op7_simhash, op8_quality_trees, op9_quality_rules, op10_decontaminate, op13_byte_bpe)
 }
 
 _OP1 = r"""
