@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.session import stage_path
+
 #: A fit reads at most so many labelled texts of each class, none of them longer than SAMPLE_BYTES.
 SAMPLE_ROWS = 3000
 SAMPLE_BYTES = 1 << 16
@@ -45,3 +47,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int =
     chosen = chosen.select("_id", "y", "weight")
     texts = docs.select("doc_id", "text").where(F.octet_length("text") <= max_bytes)
     return texts.join(F.broadcast(chosen), texts["doc_id"] == chosen["_id"]).drop("_id")
+
+
+def stage_at(df: DataFrame, label: str, by: list[str] | None = None) -> tuple[DataFrame, str]:
+    """As ``session.stage``, in folders by the columns ``by``; the path comes too, for ``remove``."""
+    path = stage_path(df.sparkSession, label)
+    df.write.partitionBy(*by or []).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written tables that no later plan reads."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
