@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import byte_bpe, decontaminate, line_dedup, mixing, packing, quality_rules, quality_trees, simhash, suffix_dedup, tool_chat, toxicity
+from quillspark.llm import byte_bpe, decontaminate, hard_negatives, line_dedup, mixing, packing, quality_rules, quality_trees, simhash, suffix_dedup, tool_chat, toxicity, vector_codes
 from quillspark.llm.common import held_out, read
 
 
@@ -58,6 +58,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.summary(marked).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").where(vector_codes.finite(F.col("embedding")))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.select("vec_id", whole.alias("vector"), moved.alias("label")), F.col("vec_id") % 100 == 0, id="vec_id")
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = byte_bpe.encode(read(spark, sf_dir, "documents"), ["doc_id"])
     encoded = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"), "ids")
@@ -67,7 +78,7 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_toxicity, op3_mixing, op4_packing, op5_tool_chat, op6_suffix_dedup, op7_simhash, op8_quality_trees, op9_quality_rules, op10_decontaminate, op13_byte_bpe)
+    for f in (op1_line_dedup, op2_toxicity, op3_mixing, op4_packing, op5_tool_chat, op6_suffix_dedup, op7_simhash, op8_quality_trees, op9_quality_rules, op10_decontaminate, op11_vector_codes, op12_hard_negatives, op13_byte_bpe)
 }
 
 _OP1 = r"""
