@@ -115,4 +115,56 @@ SELECT d.doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, co
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE = {"op1_line_dedup": _OP1, "op10_decontaminate": _OP10}
+_SOUND = "FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _op11_sql(rounds: int = 4) -> str:
+    """The Lloyd rounds, written out one after another."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT row, p, any_value(x) AS x, arg_min(e, (far, e)) AS e, min(far) AS far
+  FROM (SELECT row, m.p, m.x, e, list_inner_product(m.x, m.x) - 2 * list_inner_product(m.x, c.x) + list_inner_product(c.x, c.x) AS far FROM parts m JOIN c{r} c ON m.p = c.p) AS t GROUP BY row, p
+)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c.p, c.e, coalesce(n.x, c.x) AS x FROM c{r} c LEFT JOIN (
+    SELECT p, e, list(v ORDER BY k) AS x FROM (
+      SELECT p, e, k, floor(sum(v) / count(*)) AS v FROM (SELECT p, e, unnest(x) AS v, generate_subscripts(x, 1) AS k FROM a{r}) AS t GROUP BY p, e, k
+    ) AS t GROUP BY p, e
+  ) AS n ON c.p = n.p AND c.e = n.e
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v {_SOUND}
+), parts AS MATERIALIZED (
+  SELECT row, vec_id, p, list_slice(v, p * (len(v) // 4) + 1, (p + 1) * (len(v) // 4)) AS x FROM kept CROSS JOIN range(4) AS r(p)
+), c0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 256)
+), {", ".join(steps)},
+codes AS (
+  SELECT row, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(far) AS BIGINT) AS error FROM a{rounds} GROUP BY row
+), book AS (
+  SELECT sha256(string_agg(CAST(CAST(v AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, k)) AS codebooks_sha256 FROM (SELECT p, e, unnest(x) AS v, generate_subscripts(x, 1) AS k FROM c{rounds}) AS t
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM kept JOIN codes USING (row) CROSS JOIN book
+"""
+
+
+_OP11 = _op11_sql()
+
+_OP12 = f"""
+WITH r AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v {_SOUND} AND label IS NOT NULL
+), s AS MATERIALIZED (
+  SELECT a.row AS anchor, a.vec_id AS anchor_id, b.vec_id AS other, b.row AS other_row, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score FROM r a JOIN r b ON a.row <> b.row WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor, anchor_id, other AS positive_id, score AS positive_score, k FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) AS k FROM s WHERE same) AS t WHERE k <= 5
+), n AS (
+  SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.k ORDER BY s.score DESC, s.other) AS INT) AS rank, s.other AS negative_id, positive_score, s.score AS negative_score
+  FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same WHERE 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+)
+SELECT * FROM n WHERE rank <= 10
+"""
+
+ORACLE = {"op1_line_dedup": _OP1, "op10_decontaminate": _OP10, "op11_vector_codes": _OP11, "op12_hard_negatives": _OP12}

@@ -112,3 +112,62 @@ def without_boilerplate(rows, min_sites=5):
         kept = [x for x in lines if len(sites.get(x, ())) < min_sites]
         out.append((doc_id, "\n".join(kept), len(lines), len(lines) - len(kept)))
     return out
+
+
+def _sound(v):
+    return v is not None and all(x is not None and np.isfinite(x) for x in v)
+
+
+def _last(i):
+    return (i is None, i or 0)
+
+
+def codes(rows, parts=4, entries=256, rounds=4, scale=1024):
+    """(id, code, error, label_error, codebooks_sha256) of the kept rows of (id, vector, label)."""
+    kept = [(i, [int(np.floor(float(x) * scale)) for x in v], n) for i, v, n in rows if _sound(v)]
+    if not kept:
+        return []
+    width = -(-max(len(v) for _, v, _ in kept) // parts)
+    kept = [(i, v + [0] * (width * parts - len(v)), n) for i, v, n in kept]
+    first = {}
+    for i, v, _ in kept:
+        first[i] = min(first.get(i, v), v)
+    seeds = [first[i] for i in sorted(first, key=_last)[:entries]]
+    x = np.array([v for _, v, _ in kept], object).reshape(len(kept), parts, width)
+    book = np.array(seeds, object).reshape(-1, parts, width).transpose(1, 0, 2).copy()
+
+    def nearest(p):
+        far = ((x[:, p, None, :] - book[p][None]) ** 2).sum(2)
+        at = [min(range(len(r)), key=lambda j: (r[j], j)) for r in far]
+        return np.array(at), np.array([r[j] for r, j in zip(far, at, strict=True)], object)
+
+    for _ in range(rounds):
+        for p in range(parts):
+            at, _far = nearest(p)
+            for e in set(at.tolist()):
+                own = x[at == e, p]
+                book[p, e] = own.sum(0) // len(own)
+    found = [nearest(p) for p in range(parts)]
+    errors = [int(sum(far[k] for _, far in found)) for k in range(len(kept))]
+    total = collections.Counter()
+    for (_, _, n), e in zip(kept, errors, strict=True):
+        total[n] += e
+    sha = hashlib.sha256(",".join(str(int(v)) for v in book.reshape(-1)).encode()).hexdigest()
+    return [(i, "".join(f"{at[k]:02x}" for at, _ in found), errors[k], total[n], sha) for k, (i, _, n) in enumerate(kept)]
+
+
+def negatives(rows, is_anchor, positives=5, wanted=10):
+    """(anchor, positive, rank, negative, scores) of rows (id, whole-number vector, label)."""
+    kept = [r for r in rows if r[2] is not None and _sound(r[1])]
+    width = max((len(v) for _, v, _ in kept), default=0)
+    x = [[int(c) for c in v] + [0] * (width - len(v)) for _, v, _ in kept]
+    out = []
+    for a, (name, _, label) in enumerate(kept):
+        if not is_anchor(name):
+            continue
+        s = [sum(p * q for p, q in zip(x[a], y, strict=True)) for y in x]
+        order = sorted(range(len(kept)), key=lambda j: (-s[j], _last(kept[j][0])))
+        for p in [j for j in order if j != a and kept[j][2] == label][:positives]:
+            window = [j for j in order if kept[j][2] != label and 30 * s[p] <= 100 * s[j] <= 90 * s[p]]
+            out += [(name, kept[p][0], k + 1, kept[j][0], s[p], s[j]) for k, j in enumerate(window[:wanted])]
+    return out

@@ -14,7 +14,7 @@ TINY = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{TINY}/{t}.parquet'")
     expected = con.execute(queries.ORACLE[name])
     columns = [c[0] for c in expected.description]
@@ -23,7 +23,7 @@ def test_sql(spark, name):
     assert collections.Counter(map(tuple, found.select(columns).collect())) == collections.Counter(expected.fetchall())
 
 
-@pytest.mark.parametrize(("name", "table"), [("op2_toxicity", "documents"), ("op3_mixing", "documents"), ("op5_tool_chat", "conversations"), ("op6_suffix_dedup", "documents"), ("op7_simhash", "documents"), ("op8_quality_trees", "documents"), ("op9_quality_rules", "documents")])
+@pytest.mark.parametrize(("name", "table"), [("op2_toxicity", "documents"), ("op3_mixing", "documents"), ("op5_tool_chat", "conversations"), ("op6_suffix_dedup", "documents"), ("op7_simhash", "documents"), ("op8_quality_trees", "documents"), ("op9_quality_rules", "documents"), ("op11_vector_codes", "embeddings"), ("op13_byte_bpe", "documents")])
 def test_one_row_for_each_row(spark, name, table):
     assert queries.QUERIES[name](spark, TINY).count() == read(spark, TINY, table).count()
 
