@@ -8,7 +8,8 @@ each step is one aggregation over counts of (source, size), which stand for all
 
 Rates become copies by error diffusion: documents are dealt by hash into groups of about ``GROUP``
 within a source, and in a group, from the longest to the shortest, each one takes the number of
-copies nearest to what is due so far. A group is bounded however large its source is, and what is
+copies nearest to what is due so far. Documents alike in id, source and text are one element
+of their group, with their number. A group is bounded however large its source is, and what is
 left over is about half the size of a group's shortest document.
 
 Defined cases: a null or empty text has size 0 and is taken 0 words; null sources are one source,
@@ -29,6 +30,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2.0
 GROUP = 400
+BLOCK = 10_000
 STEPS, TOLERANCE = 60, 1e-7
 _OUT = ["size", "source_size", "target", "rate", "copies", "taken"]
 
@@ -100,35 +102,57 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     """One row for each document: doc_id, source, size, source_size, target, rate, copies and taken."""
     key = F.xxhash64(F.col("doc_id"), F.col("source"), F.col("text"))
     sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), key.alias("key"))
-    return mix_sized(stage(sized, "mix-sizes"), weights, share, cap)
+    dealt = stage(mix_sized(stage(sized, "mix-sizes"), weights, share, cap), "mix-dealt")
+    large = not dealt.where(F.col("m") > BLOCK).isEmpty()
+    # of m alike documents, ``total % m`` are taken once more often than the others
+    each = numbered(dealt, "m", "k", large).withColumn("copies", (F.expr("total div m") + F.when(F.col("k") < F.expr("total % m"), 1).otherwise(0)).cast("int"))
+    return each.select("doc_id", "source", "key", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
+def numbered(rows: DataFrame, count: str, name: str, large: bool) -> DataFrame:
+    """Every row ``count`` times, with a running number ``name`` from 0.
+
+    If there are ``large`` counts, over ``BLOCK``, a row is first a row for each ``BLOCK`` numbers, and these are dealt
+    out by its ``key``, so that neither an array nor a task holds all its repeats.
+    """
+    n = F.col(count).cast("long")
+    blocks = rows.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(cast({count} as long) - 1) div {BLOCK}"))))
+    if large:
+        blocks = blocks.repartition("key", "_block")
+    ends = F.least(n, (F.col("_block") + 1) * BLOCK) - 1
+    return blocks.withColumn(name, F.explode(F.sequence(F.col("_block") * BLOCK, ends))).drop("_block")
 
 
 def mix_sized(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
-    """As ``mix``, for rows of (doc_id, source, size, key), key a hash of the document."""
+    """How often documents are taken, from rows of (doc_id, source, size, key), key a hash of the document.
+
+    Documents alike in all four are one row, with their number ``m`` and the ``total`` of their copies.
+    """
     goals = stage(targets(sized, weights, share, cap), "mix-targets")
     solved = multipliers(sized, goals, cap)
     per = goals.join(solved.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     named = per.withColumnRenamed("source", "s")
-    rows = sized.join(named, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    alike = sized.groupBy("source", "size", "key", "doc_id").agg(F.count(F.lit(1)).alias("m"))
+    rows = alike.join(named, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     rate = F.when(F.col("target") >= cap * F.col("source_size"), F.lit(cap)).otherwise(_tilt(F.col("multiplier"), F.col("size") / F.col("mean"), cap))
     rows = rows.withColumn("rate", F.when(F.col("size") > 0, rate).otherwise(0.0))
-    # groups of a source, about GROUP documents each; the documents of a group lie together in an array
+    # groups of a source, about GROUP documents each; the documents of a group lie together in an array, alike ones as one element
     groups = F.ceil(F.col("n") / GROUP).cast("long")
     rows = rows.withColumn("group", F.pmod(F.xxhash64("key", F.lit(7)), groups))
-    item = F.struct((-F.col("size")).alias("o"), "key", "doc_id", "size", "rate")
+    item = F.struct((-F.col("size")).alias("o"), "key", "doc_id", "size", "rate", "m")
     grouped = rows.groupBy("source", "group").agg(F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.sort_array(F.collect_list(item)).alias("items"))
 
     def deal(state: Column, x: Column) -> Column:
-        due = state["due"] + x["rate"] * x["size"]
-        copies = F.when(x["size"] > 0, F.least(F.greatest(F.round(due / F.greatest(x["size"], F.lit(1))), F.lit(0.0)), F.lit(float(int(cap))))).otherwise(0.0)
-        return F.struct((due - copies * x["size"]).alias("due"), F.concat(state["copies"], F.array(copies.cast("int"))).alias("copies"))
+        due = state["due"] + x["rate"] * x["size"] * x["m"]
+        copies = F.when(x["size"] > 0, F.least(F.greatest(F.round(due / F.greatest(x["size"], F.lit(1))), F.lit(0.0)), x["m"] * float(int(cap)))).otherwise(0.0)
+        return F.struct((due - copies * x["size"]).alias("due"), F.concat(state["copies"], F.array(copies.cast("long"))).alias("copies"))
 
-    zero = F.struct(F.lit(0.0).alias("due"), F.array().cast("array<int>").alias("copies"))
+    zero = F.struct(F.lit(0.0).alias("due"), F.array().cast("array<long>").alias("copies"))
     dealt = grouped.withColumn("copies", F.aggregate("items", zero, deal, lambda s: s["copies"]))
     flat = dealt.select("source", "source_size", "target", F.explode(F.arrays_zip("items", "copies")).alias("d"))
     return flat.select(
         F.col("d.items.doc_id").alias("doc_id"), "source", F.col("d.items.key").alias("key"), F.col("d.items.size").alias("size"), "source_size", "target",
-        F.col("d.items.rate").alias("rate"), F.col("d.copies").alias("copies"), (F.col("d.copies") * F.col("d.items.size")).cast("long").alias("taken"),
+        F.col("d.items.rate").alias("rate"), F.col("d.items.m").alias("m"), F.col("d.copies").alias("total"),
     )
 
 
@@ -136,10 +160,10 @@ def apply_copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: flo
     """The mixture itself: every document as often as its copies say, with all its columns."""
     keyed = docs.withColumn("_key", F.xxhash64(*[docs[c] for c in docs.columns]))
     sized = keyed.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.col("_key").alias("key"))
-    taken = mix_sized(stage(sized, "mix-sizes"), weights, share, cap).where("copies > 0")
-    copies = taken.groupBy(F.col("key").alias("_k"), F.col("doc_id").alias("_d")).agg(F.sum("copies").cast("int").alias("_copies"))
+    taken = mix_sized(stage(sized, "mix-sizes"), weights, share, cap).where("total > 0")
+    copies = stage(taken.groupBy("key", F.col("doc_id").alias("_d")).agg(F.sum("total").alias("_copies")), "mix-copies")
+    large = not copies.where(F.col("_copies") > BLOCK).isEmpty()
     # identical rows share id and key: one of them stands for all, as often as all are taken; a clash of two keys alone joins nothing
     once = keyed.groupBy("_key", F.col("doc_id").alias("_id")).agg(F.first(F.struct(*docs.columns)).alias("_row"))
-    same = (F.col("_key") == F.col("_k")) & F.col("_id").eqNullSafe(F.col("_d"))
-    joined = once.join(copies, same).select("_row", F.explode(F.sequence(F.lit(1), "_copies")).alias("_time"))
-    return joined.select("_row.*")
+    same = (F.col("_key") == F.col("key")) & F.col("_id").eqNullSafe(F.col("_d"))
+    return numbered(once.join(copies, same), "_copies", "_time", large).select("_row.*")

@@ -61,6 +61,36 @@ def components(fps, radius=3):
     return [find(i) for i in range(len(f))]
 
 
+def near_copies(rows, shingle=5):
+    """The least id of each component of texts at a similarity of 0.8 or more, None last, and the linked pairs of rows."""
+    sets = []
+    for _, t in rows:
+        w = SPACED.findall((t or "").translate(LOWER))
+        sets.append({" ".join(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))})
+    holders = collections.defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s:
+            holders[x].append(i)
+    parent, pairs = list(range(len(rows))), []
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        both = collections.Counter(j for x in a for j in holders[x] if j < i)
+        for j, n in both.items():
+            if 5 * n >= 4 * (len(a) + len(sets[j]) - n):
+                pairs.append((i, j))
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), (True, 0)), (d is None, d or 0))
+    return [None if n else d for n, d in least.values()], pairs
+
+
 def without_repeats(rows, length=100):
     """Multiset of (doc_id, n_bytes, n_removed, n_spans, sha256); None sorts first."""
     order = lambda d: (d is not None, d if d is not None else 0)

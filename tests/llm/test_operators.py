@@ -57,7 +57,7 @@ def test_decontaminate_removal(spark, awkward, nothing):
 
 
 # 7: SimHash
-@pytest.mark.parametrize("bucket", [simhash.BUCKET, 3])
+@pytest.mark.parametrize("bucket", [simhash.BUCKET, 12])
 def test_simhash(spark, awkward, bucket):
     rng, base = random.Random(2), [f"w{k}" for k in range(400)]
     near = []
@@ -93,14 +93,6 @@ def test_simhash_empty(nothing):
 
 
 # pipeline: near copies at five-word similarity 0.8
-def _shingle_sets(rows):
-    out = []
-    for _, t in rows:
-        w = brute.SPACED.findall((t or "").translate(brute.LOWER))
-        out.append({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
-    return out
-
-
 @pytest.mark.parametrize("blocks", [(near_copies.BLOCK_TEXTS, near_copies.BLOCK_SHINGLES), (7, 1 << 20), (512, 3000)])
 def test_near_copies(spark, blocks):
     rng, rows = random.Random(8), texts()
@@ -110,26 +102,12 @@ def test_near_copies(spark, blocks):
             rows.append((2000 + 10 * k + c, " ".join(words)))
             for _ in range(rng.randint(0, max(1, len(words) // 45))):
                 words[rng.randrange(len(words))] = f"Z{rng.randint(0, 99)}"
-    sets = _shingle_sets(rows)
-    parent = list(range(len(rows)))
-
-    def find(x):
-        return x if parent[x] == x else find(parent[x])
-
-    far = 0
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if 5 * len(a & b) >= 4 * len(a | b):
-                far += (brute.fingerprint(rows[i][1]) ^ brute.fingerprint(rows[j][1])).bit_count() > simhash.RADIUS
-                x, y = find(i), find(j)
-                parent[max(x, y)] = min(x, y)
-    least = {}
-    for i, (d, _) in enumerate(rows):
-        r = find(i)
-        least[r] = min(least.get(r, (True, 0)), (d is None, d or 0))
+    least, pairs = brute.near_copies(rows)
+    prints = [brute.fingerprint(t) for _, t in rows]
+    far = sum((prints[i] ^ prints[j]).bit_count() > simhash.RADIUS for i, j in pairs)
     assert far > 20  # links that fingerprints within 3 bits don't have
     kept = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), *blocks).collect()
-    assert bag((r.doc_id,) for r in kept) == bag((None if n else d,) for n, d in least.values())
+    assert bag((r.doc_id,) for r in kept) == bag((d,) for d in least)
 
 
 def test_near_copies_empty(nothing):
@@ -156,6 +134,18 @@ def test_suffix_dedup(spark, awkward, seeds, hot):
     assert bag(found.drop("kept").collect()) == bag(brute.without_repeats(rows))
 
 
+def test_suffix_dedup_of_a_very_long_text(spark):
+    rng = np.random.default_rng(7)
+    long = rng.integers(97, 123, (1 << 21) + 5000, dtype=np.uint8)
+    border, passage = 1 << 20, rng.integers(65, 91, 700, dtype=np.uint8)
+    for at in (border - 350, 2 * border - 90, 2 * border + 4000, 500):
+        long[at : at + 700] = passage
+    long[1_500_000:1_502_000] = long[border - 1000 : border + 1000]
+    rows = [(2, long.tobytes().decode()), (1, long[border - 200 : border + 900].tobytes().decode()), (3, passage[:99].tobytes().decode()), (4, passage[300:400].tobytes().decode())]
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert bag(found.drop("kept").collect()) == bag(brute.without_repeats(rows))
+
+
 def test_suffix_dedup_empty(nothing):
     assert suffix_dedup.remove_repeats(nothing).count() == 0
 
@@ -285,6 +275,26 @@ def test_mixing(spark, awkward, which):
     assert mixed.columns == docs.columns and mixed.count() == sum(r.copies for r in rows)
 
 
+def test_mixing_of_a_row_with_a_third_of_all(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 7)
+    rows = [(None, "one and the same text here", "a", None)] * 60 + [(k, "word " * (1 + k % 9), "ab"[k % 2], k) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, m long").repartition(4)
+    found = mixing.mix(docs).collect()
+    assert bag((r.doc_id, r.size) for r in found) == bag((d, len(t.split())) for d, t, *_ in rows)
+    same = collections.Counter(r.copies for r in found if r.doc_id is None)
+    assert sum(same.values()) == 60 and max(same) - min(same) <= 1 and max(same) <= 2
+    taken = collections.Counter()
+    for r in found:
+        taken[r.source] += r.taken
+        assert abs(r.copies - r.rate) < 2
+    assert all(abs(taken[r.source] - r.target) <= 0.05 * r.target for r in found)
+    mixed, words = bag(mixing.apply_copies(docs).collect()), collections.Counter()
+    for r, n in mixed.items():
+        assert n <= 2 * rows.count(r)
+        words[r[2]] += n * len(r[1].split())
+    assert all(abs(words[r.source] - r.target) <= 0.05 * r.target for r in found)
+
+
 def test_mixing_empty(nothing):
     assert mixing.mix(nothing).count() == 0 and mixing.apply_copies(nothing).count() == 0
 

@@ -39,11 +39,8 @@ def test_pipeline(spark):
     model = toxicity.fit(docs, read(spark, TINY, "labels"))
     toxic = {r.doc_id for r in toxicity.score(docs, model, ["doc_id"]).where("predicted = 1").collect()}
     assert sorted(rows[1]) == sorted(r for r in rows[0] if r[0] not in toxic)
-    member = brute.components([brute.fingerprint(r[1]) for r in rows[1]])
-    first = {}
-    for r, c in zip(rows[1], member, strict=True):
-        first[c] = min(first.get(c, r), r)
-    assert sorted(rows[2]) == sorted(first.values())
+    stay, _ = brute.near_copies([r[:2] for r in rows[1]])
+    assert sorted(rows[2]) == sorted(r for r in rows[1] if r[0] in set(stay))
     items = [tuple(r) for r in read(spark, TINY, "benchmark").select("item_id", "text").collect()]
     clean = {r[0] for r in brute.contaminated([r[:2] for r in rows[2]], items) if not r[-1]}
     assert sorted(rows[3]) == sorted(r for r in rows[2] if r[0] in clean)
