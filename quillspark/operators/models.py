@@ -22,6 +22,7 @@ from quillspark.operators.balance import weight_column
 from quillspark.schemas import LABELS, default_features
 from quillspark.session import packed, stage
 
+PENALTIES = {"l2": 0.0, "l1": 1.0, "elasticnet": None, None: 0.0}  # share of the absolute values; None: no penalty
 KINDS = ("baseline", "random_forest", "svm", "logistic_regression")
 MAX_DEPTH = 30  # the most Spark allows
 
@@ -34,7 +35,9 @@ DEFAULTS = {
         "class_weight": "balanced_subsample", "max_samples": 0.2,
     },
     "svm": {"kernel": "linear", "degree": 3, "C": 1.0, "max_iter": 100, "tol": 1e-3},
-    "logistic_regression": {"C": 1.0, "max_iter": 1000, "tol": 1e-4, "class_weight": None},
+    "logistic_regression": {
+        "C": 1.0, "penalty": "l2", "l1_ratio": 0.5, "max_iter": 1000, "tol": 1e-4, "class_weight": None,
+    },
 }
 
 
@@ -64,6 +67,8 @@ class ModelSpec:
             raise ValueError(f"max_depth is at most {MAX_DEPTH}; None means {MAX_DEPTH}")
         if self.params.get("kernel", "linear") not in ("linear", "poly"):
             raise ValueError("kernel is 'linear' or 'poly'")
+        if self.params.get("penalty") not in PENALTIES:
+            raise ValueError(f"penalty is one of {list(PENALTIES)}")
 
 
 def assemble(df: DataFrame, features: list[str], embeddings: list[str], out: str = "features") -> DataFrame:
@@ -88,6 +93,18 @@ def training_table(df: DataFrame, spec: ModelSpec) -> DataFrame:
 # ---------------------------------------------------------------- single estimators
 
 
+def feature_subset(value: str | float | None) -> str:
+    """Spark's name for the features tried at a split; None means all."""
+    return "all" if value is None else str(value)
+
+
+def penalty(params: dict, rows: int) -> dict:
+    """Strength and kind of the penalty: C weighs the summed loss of all rows against it."""
+    share = PENALTIES[params["penalty"]]
+    strength = 0.0 if params["penalty"] is None else 1.0 / (params["C"] * max(rows, 1))
+    return {"regParam": strength, "elasticNetParam": params["l1_ratio"] if share is None else share}
+
+
 def _forest(params: dict, label: str, weight: str | None) -> RandomForestClassifier:
     depth = MAX_DEPTH if params["max_depth"] is None else params["max_depth"]
     extra = {"weightCol": weight} if weight else {}
@@ -98,7 +115,7 @@ def _forest(params: dict, label: str, weight: str | None) -> RandomForestClassif
         impurity=params["criterion"],
         maxDepth=depth,
         minInstancesPerNode=params["min_samples_leaf"],
-        featureSubsetStrategy=params["max_features"],
+        featureSubsetStrategy=feature_subset(params["max_features"]),
         bootstrap=params["bootstrap"],
         subsamplingRate=params["max_samples"],
         seed=params["random_state"],
@@ -112,11 +129,10 @@ def _logistic(params: dict, label: str, weight: str | None, rows: int, family: s
         featuresCol="features",
         labelCol=label,
         family=family,
-        regParam=1.0 / (params["C"] * max(rows, 1)),
-        elasticNetParam=0.0,
         standardization=False,
         maxIter=params["max_iter"],
         tol=params["tol"],
+        **penalty(params, rows),
         **extra,
     )
 

@@ -15,36 +15,52 @@ from pyspark.sql import functions as F
 
 from quillspark.operators.balance import weight_column
 from quillspark.operators.models import (
+    MAX_DEPTH,
+    PENALTIES,
     LabelModel,
     ModelSpec,
     assemble,
     class_probabilities,
+    feature_subset,
     fit_table,
     index_classes,
+    penalty,
     prediction_columns,
     training_table,
 )
 from quillspark.schemas import LABELS, default_features
 from quillspark.session import packed, stage
 
-ENSEMBLERS = ("ensembler_lr", "ensembler_dt")
+# Default parameters of the two ensemblers.
+ENSEMBLERS = {
+    "ensembler_lr": {"C": 1.0, "penalty": "l2", "l1_ratio": 0.5, "max_iter": 1000, "tol": 1e-4, "class_weight": None},
+    "ensembler_dt": {
+        "criterion": "gini", "max_depth": None, "min_samples_leaf": 1, "max_features": "sqrt",
+        "random_state": 42, "class_weight": "balanced",
+    },
+}
 PREFIXES = {"SVM": "svm", "RF": "random_forest", "LR": "logistic_regression"}
 
 
 @dataclass
 class StackSpec:
-    """Ensembler name, features, and parameters of the three sub-models by kind."""
+    """Ensembler name and parameters, features, and parameters of the three sub-models by kind."""
 
     ensembler: str
     features: list[str] = field(default_factory=default_features)
     embeddings: list[str] = field(default_factory=list)
     params: dict = field(default_factory=dict)
-    max_iter: int = 1000
-    seed: int = 42
+    ensembler_params: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.ensembler not in ENSEMBLERS:
-            raise ValueError(f"ensembler is one of {ENSEMBLERS}")
+            raise ValueError(f"ensembler is one of {list(ENSEMBLERS)}")
+        unknown = set(self.ensembler_params) - set(ENSEMBLERS[self.ensembler])
+        if unknown:
+            raise ValueError(f"unknown parameters: {sorted(unknown)}")
+        self.ensembler_params = {**ENSEMBLERS[self.ensembler], **self.ensembler_params}
+        if self.ensembler_params.get("penalty") not in PENALTIES:
+            raise ValueError(f"penalty is one of {list(PENALTIES)}")
 
     def sub_spec(self, kind: str) -> ModelSpec:
         return ModelSpec(
@@ -194,15 +210,20 @@ def _fit_submodels(
 def _fit_ensembler(table: DataFrame, spec: StackSpec) -> PipelineModel:
     table = stage(table, "stacked")
     table = packed(table, 8 * 15, table.count())
+    params, extra = spec.ensembler_params, {}
+    if params["class_weight"] is not None:
+        table = table.withColumn("weight", weight_column(table))
+        extra = {"weightCol": "weight"}
     if spec.ensembler == "ensembler_lr":
         estimator = LogisticRegression(
-            featuresCol="stacked", labelCol="label", family="multinomial",
-            regParam=1.0 / max(table.count(), 1), standardization=False, maxIter=spec.max_iter, tol=1e-4,
+            featuresCol="stacked", labelCol="label", family="multinomial", standardization=False,
+            maxIter=params["max_iter"], tol=params["tol"], **penalty(params, table.count()), **extra,
         )
     else:
-        table = table.withColumn("weight", weight_column(table))
         estimator = RandomForestClassifier(
-            featuresCol="stacked", labelCol="label", weightCol="weight", numTrees=1, bootstrap=False,
-            impurity="gini", featureSubsetStrategy="sqrt", maxDepth=30, seed=spec.seed,
+            featuresCol="stacked", labelCol="label", numTrees=1, bootstrap=False,
+            impurity=params["criterion"], featureSubsetStrategy=feature_subset(params["max_features"]),
+            maxDepth=MAX_DEPTH if params["max_depth"] is None else params["max_depth"],
+            minInstancesPerNode=params["min_samples_leaf"], seed=params["random_state"], **extra,
         )
     return PipelineModel([estimator.fit(table)])

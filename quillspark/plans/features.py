@@ -33,6 +33,11 @@ class Resources:
     emotions_es: DataFrame | None = None  # word, emotion
     translations: DataFrame | None = None  # id, translated_text
     document_vectors: dict[str, DataFrame] = field(default_factory=dict)  # name -> id, vec
+    emotion_vectors: DataFrame | None = None  # word, vec of the extended emotion scores, if other than ``vectors``
+
+    def __post_init__(self) -> None:
+        if self.emotion_vectors is None:
+            self.emotion_vectors = self.vectors
 
 
 @dataclass
@@ -60,17 +65,19 @@ class FeatureModel:
                 out, lx.emotion_shares(translated, res.emotions, column="translated_text")
             )
             out = vx.attach_translations(out, res.translations)
-        out = lx.with_defaults(out, self.extended.score_texts(texts, res.vectors), 0.0)
+        out = lx.with_defaults(out, self.extended.score_texts(texts, res.emotion_vectors), 0.0)
         for name, table in res.document_vectors.items():
             out = vx.attach_document_vectors(out, table, name)
         means = vx.mean_vectors(texts, res.vectors, res.dim, "Aggregate_embeddings")
         return vx.with_zero_vector(out, means, res.dim, "Aggregate_embeddings")
 
-    def save(self, spark: SparkSession, path: str) -> None:
+    def save(self, spark: SparkSession, path: str, overwrite: bool = False) -> None:
         """Write the fitted state; the side tables stay where they are."""
-        self.normalizer.save(f"{path}/normalizer")
+        writer = self.normalizer.write()
+        (writer.overwrite() if overwrite else writer).save(f"{path}/normalizer")
         meta = json.dumps({"language": self.language, "extended": self.extended.to_json()})
-        spark.createDataFrame([(meta,)], "value string").coalesce(1).write.text(f"{path}/meta")
+        rows = spark.createDataFrame([(meta,)], "value string").coalesce(1)
+        rows.write.mode("overwrite" if overwrite else "error").text(f"{path}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, resources: Resources) -> FeatureModel:
@@ -96,7 +103,7 @@ def fit_features(
     normalizer = Normalizer(columns=columns, method=method).fit(train)
     spanish = language == "spanish"
     lexicon = resources.emotions_es if spanish else resources.emotions
-    words = training_set(lexicon, resources.vectors, split_phrases=spanish)
+    words = training_set(lexicon, resources.emotion_vectors, split_phrases=spanish)
     return FeatureModel(language, resources, normalizer, fit_extended(words, max_iter))
 
 

@@ -20,7 +20,7 @@ from quillspark.sources.tables import read_gold, read_prediction_folder
 
 @dataclass
 class JobResult:
-    features: FeatureModel
+    features: FeatureModel | None
     model: LabelModel | StackModel
     predictions: DataFrame
     scores: DataFrame
@@ -61,12 +61,17 @@ def run(
     table = stage(features.transform(cleaned), "features")
     model = train_model(table.where(F.col("split") == "train"), spec)
     predictions = stage(model.transform(table), "predictions")
+    return JobResult(features, model, predictions, score_splits(predictions, evaluate_on, checked))
+
+
+def score_splits(predictions: DataFrame, splits: tuple[str, ...], checked: bool = True, f1_undefined: float = 1.0) -> DataFrame | None:
+    """(split, metric, value) of both tasks for some splits of a table with labels and predictions."""
     scores = None
-    for split in evaluate_on:
-        part = score_predictions(predictions.where(F.col("split") == split), checked)
+    for split in splits:
+        part = score_predictions(predictions.where(F.col("split") == split), checked, f1_undefined)
         part = part.select(F.lit(split).alias("split"), "metric", "value")
         scores = part if scores is None else scores.unionByName(part)
-    return JobResult(features, model, predictions, scores)
+    return scores
 
 
 def evaluate_folder(
@@ -75,6 +80,7 @@ def evaluate_folder(
     output_path: str | None = None,
     tasks: tuple[str, ...] = ("a", "b"),
     f1_undefined: float = 1.0,
+    mode: str = "error",
 ) -> DataFrame:
     """Score the prediction files in ``res`` against the gold file in ``ref``.
 
@@ -89,5 +95,5 @@ def evaluate_folder(
         rows[task] = evaluate(gold, pred, f1_undefined)
     report = score_report(rows.get("a"), rows.get("b"))
     if output_path:
-        write_scores(report, output_path)
+        write_scores(report, output_path, mode)
     return report

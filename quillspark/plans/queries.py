@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from quillspark.operators import vectors as vx
 from quillspark.operators.cleaning import clean, clean_language, stripped, token_lengths
 from quillspark.operators.extended import fit_extended, training_set
 from quillspark.plans import job
+from quillspark.plans import settings as sg
 from quillspark.plans.features import feature_vectors, fit_features
 from quillspark.plans.fixtures import DIM, base_table, resources, view, views
 from quillspark.schemas import (
@@ -680,6 +682,54 @@ def eval_by_file(spark: SparkSession, sf: str) -> DataFrame:
     return scored[0].unionByName(scored[1]).select(*keys, "metric", F.round("value", 6).alias("value"))
 
 
+def write_job_files(spark: SparkSession, sf: str) -> dict:
+    """All input files of the job in one folder, and settings that name them."""
+    folder = stage_path(spark, "job")
+    tweets = stage(view(spark, sf, "tweets").where("language = 'en'"), "tweets")
+    for split in tables.SPLIT_STEMS:
+        rows = tweets.where(F.col("split") == split).select(*LABELLED_TEXT.fieldNames())
+        sinks.write_tsv(rows, f"{folder}/{tables.split_file(split, 'english')}")
+    slang, stop_words, emotions, vectors = views(spark, sf, "slang", "stop_words", "emotions", "vectors")
+    slang.orderBy("load_order").select("term", "score").write.options(**tables.TSV).csv(f"{folder}/slang.txt")
+    stop_words.write.text(f"{folder}/stop_words.txt")
+    emotions.write.options(**tables.TSV).csv(f"{folder}/emotions.tsv")
+    line = F.concat_ws(" ", "word", F.array_join(F.col("vec").cast("array<string>"), " "))
+    vectors.select(line).write.text(f"{folder}/vectors.txt")
+    place = lambda name: {
+        "input_directory": f"{folder}/{name}/", "output_directory": f"{folder}/{name}/scores/", "output_file": "scores.out",
+        "goldpath": f"{folder}/{name}/ref/", "predpath": f"{folder}/{name}/res/",
+    }
+    return {
+        "document_processing": {
+            "input_tsv_files": {"filepath": folder, "language": "english", "multi_line": True},
+            "save_or_load": "save", "processed_data_dir": f"{folder}/processed",
+        },
+        "model": {
+            "feature_engineering": {
+                "embedding_path": f"{folder}/vectors.txt", "embedding_dim": DIM, "nrc_embedding_file": f"{folder}/vectors.txt",
+                "emotion_path": f"{folder}/emotions.tsv", "slang_dict_path": f"{folder}/slang.txt", "stop_words_path": f"{folder}/stop_words.txt",
+            },
+            "classification": {
+                "approach": "logistic_regression",
+                "params": {
+                    "tasks": list(sg.TASKS), "prediction_target": "together", "features": "All", "embedding_features": EMBEDDINGS,
+                    "model_params": {"logistic_regression_params": {"penalty": "l2", "solver": "sag", "max_iter": 1000}},
+                },
+            },
+        },
+        "evaluation": {"development": place("dev"), "test": place("test")},
+    }
+
+
+@query
+def settings_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The job from a settings file: texts and side tables are written as files, read, cleaned, fitted and scored."""
+    settings = write_job_files(spark, sf)
+    path = stage_path(spark, "settings")
+    spark.createDataFrame([(json.dumps(settings),)], "value string").coalesce(1).write.text(path)
+    return sg.run_settings(spark, path).scores
+
+
 def end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     """Clean, engineer all features, fit the classifier and score the other splits."""
     spec = md.ModelSpec("logistic_regression", features=default_features(), embeddings=EMBEDDINGS)

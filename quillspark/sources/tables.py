@@ -90,6 +90,12 @@ def read_spanish_emotions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EMOTION_ES).csv(path)
 
 
+def read_emotions(spark: SparkSession, path: str) -> DataFrame:
+    """(word, emotion) from a two-column TSV without header, one row for each emotion of a word."""
+    schema = T.StructType(EMOTION_ES.fields[:2])
+    return spark.read.schema(schema).options(**TSV).csv(path, mode="FAILFAST")
+
+
 def read_translations(spark: SparkSession, path: str) -> DataFrame:
     """(id, translated_text) from a CSV with a header; rows are matched by ``id``."""
     schema = T.StructType(

@@ -77,3 +77,26 @@ def test_stacking(spark, table, tmp_path, ensembler, folds):
         model.save(spark, str(tmp_path / "s"))
         again = st.StackModel.load(spark, str(tmp_path / "s")).transform(table).collect()
         assert {r["id"]: r["Ensemble_target"] for r in again} == {r["id"]: r["Ensemble_target"] for r in rows}
+
+
+@pytest.mark.parametrize("params", [{"penalty": "l1"}, {"penalty": "elasticnet", "l1_ratio": 0.3}, {"penalty": None}, {"C": 1e-6}])
+def test_penalties(table, params):
+    spec = md.ModelSpec("logistic_regression", features=FEATURES, params=params)
+    weights = md.fit_model(table, spec).stages["Target"].stages[0].coefficientMatrix.toArray()
+    if "C" in params:
+        assert abs(weights).max() < 1e-2  # a small C is a strong penalty
+    else:
+        assert abs(weights).max() > 0.5
+
+
+@pytest.mark.parametrize("ensembler, params", [("ensembler_lr", {"class_weight": "balanced", "C": 10.0}), ("ensembler_dt", {"criterion": "entropy", "max_features": None, "max_depth": 5, "class_weight": None})])
+def test_ensembler_parameters(spark, table, tmp_path, ensembler, params):
+    spec = st.StackSpec(ensembler, FEATURES, ["e"], {"random_forest": FOREST, "svm": LINEAR}, params)
+    model = st.fit_stack(table, spec)
+    assert accuracy(model.transform(table).collect()) > 0.9
+    if ensembler == "ensembler_dt":
+        assert model.ensembler.stages[0].getOrDefault("impurity") == "entropy" and model.ensembler.stages[0].trees[0].depth <= 5
+    model.save(spark, str(tmp_path / "s"))
+    assert st.StackModel.load(spark, str(tmp_path / "s")).spec.ensembler_params == model.spec.ensembler_params
+    with pytest.raises(ValueError):
+        st.StackSpec(ensembler, ensembler_params={"depth": 1})
