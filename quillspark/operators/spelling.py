@@ -10,7 +10,7 @@ words are taken one edit towards each other. A letter that an edit brings in
 is a blank, since the other word names it, so no alphabet is needed. The
 dictionary side is reduced to the best word per key before the join, so a key
 meets at most one row however many words share it: no list of pairs is
-ever built and none is left out.
+ever built and none is left out. Keys are compared by 128-bit hashes.
 """
 
 from __future__ import annotations
@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import text as tx
 from quillspark.session import stage
-from quillspark.sizing import attach
+from quillspark.sizing import BROADCAST_BYTES, attach
 
 WORDS_PER_TASK = 5000
+KEY_BYTES = 64  # of a key in a hash table
 OPEN = "\x00"
 
 
@@ -143,25 +144,40 @@ def _fanned(words: DataFrame) -> DataFrame:
     return words.repartition(max(cores, words.count() // WORDS_PER_TASK))
 
 
+def _hashed(keys: DataFrame, held: str) -> DataFrame:
+    """(``held``, k1, k2): keys as two 64-bit hashes of other seeds, so that rows are short numbers to shuffle and sort."""
+    return keys.select(held, F.xxhash64("key").alias("k1"), F.xxhash64(F.lit(17), "key").alias("k2"))
+
+
 def _best(keys: DataFrame, targets: DataFrame) -> DataFrame:
-    """(word, rank): the best dictionary word that shares a key, from (word, key) and (rank, key)."""
-    reach = targets.groupBy("key").agg(F.min("rank").alias("rank"))
-    return keys.join(reach, "key").groupBy("word").agg(F.min("rank").alias("rank"))
+    """(uid, rank): the best dictionary word that shares a key, from (uid, key) and (rank, key).
+
+    The dictionary's keys are written and counted. They are broadcast, or hashed in each partition, where their size
+    allows it, since sorting the many keys of the unknown words costs more than making them.
+    """
+    reach = stage(_hashed(targets, "rank").groupBy("k1", "k2").agg(F.min("rank").alias("rank")), "reach")
+    size = reach.count() * KEY_BYTES
+    if size <= BROADCAST_BYTES:
+        reach = F.broadcast(reach)
+    elif size <= BROADCAST_BYTES * int(reach.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        reach = reach.hint("shuffle_hash")
+    return _hashed(keys, "uid").join(reach, ["k1", "k2"]).groupBy("uid").agg(F.min("rank").alias("rank"))
 
 
 def candidates(unknown: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(word, tier, candidate, freq) for the unknown words with a dictionary word in reach;
     two edits are tried only where one edit finds nothing."""
     word = F.col("word")
-    ranked, unknown = _ranked(dictionary), stage(unknown.select("word"), "unknown")
-    near_keys = _fanned(unknown).select("word", F.explode(_keys(word, True)).alias("key"))
+    numbered = unknown.select("word").withColumn("uid", F.monotonically_increasing_id())
+    ranked, unknown = _ranked(dictionary), stage(numbered, "unknown")
+    near_keys = _fanned(unknown).select("uid", F.explode(_keys(word, True)).alias("key"))
     near_targets = _fanned(ranked).select("rank", F.explode(_keys(word, False)).alias("key"))
     near = stage(_best(near_keys, near_targets), "near")
-    rest = stage(unknown.join(near, "word", "left_anti"), "rest")
-    far = _best(_far_keys(_fanned(rest), "word", True), _far_keys(_fanned(ranked), "rank", False))
+    rest = stage(unknown.join(near, "uid", "left_anti"), "rest")
+    far = _best(_far_keys(_fanned(rest), "uid", True), _far_keys(_fanned(ranked), "rank", False))
     found = near.withColumn("tier", F.lit(1)).unionByName(far.withColumn("tier", F.lit(2)))
     named = ranked.select("rank", F.col("word").alias("candidate"), "freq")
-    return found.join(named, "rank").select("word", "tier", "candidate", "freq")
+    return found.join(named, "rank").join(unknown, "uid").select("word", "tier", "candidate", "freq")
 
 
 def corrections(unknown: DataFrame, dictionary: DataFrame) -> DataFrame:
