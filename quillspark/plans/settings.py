@@ -140,11 +140,11 @@ def export(rows: DataFrame, language: str, place: dict) -> None:
     sinks.write_predictions(rows, place["predpath"].rstrip("/"), code, "overwrite")
 
 
-def run_settings(spark: SparkSession, settings: dict | str, f1_undefined: float = 1.0) -> JobResult:
+def run_settings(spark: SparkSession, settings: dict | str, f1_undefined: float = 1.0, checked: bool = True) -> JobResult:
     """Run the job that ``settings``, or the file of that path, describes.
 
     Writes what the settings name and returns the fitted models, all predictions and (split, metric, value). A model of
-    fewer than the three labels is neither exported nor scored, as both tasks need all of them.
+    fewer than the three labels is neither exported nor scored, as both tasks need all of them. ``checked`` refuses predicted values that gold does not have.
     """
     if isinstance(settings, str):
         settings = load_settings(spark, settings)
@@ -163,5 +163,5 @@ def run_settings(spark: SparkSession, settings: dict | str, f1_undefined: float
         place = settings["evaluation"][part]
         export(predictions.where(F.col("split") == split), language, place)
         report = f"{place['output_directory'].rstrip('/')}/{place['output_file']}"
-        evaluate_folder(spark, place["input_directory"].rstrip("/"), report, f1_undefined=f1_undefined, mode="overwrite")
+        evaluate_folder(spark, place["input_directory"].rstrip("/"), report, f1_undefined=f1_undefined, mode="overwrite", checked=checked)
     return JobResult(features, model, predictions, score_splits(predictions, tuple(wanted.values()), False, f1_undefined))
