@@ -11,9 +11,15 @@ some v is orthogonal to all of them: every pair within the radius agrees on some
 A bucket is the distinct fingerprints that agree on a mask. A bucket of two is decided from its
 least and greatest member. A larger one is compared inside one group, of at most ``BUCKET``
 members. Beyond that, its members go on to finer masks: the free positions are cut into radius + 1
-blocks, of which one is free of differences, and is added to the mask. At the end a mask leaves
-few positions free, so a bucket is bounded by their number of values. No link is lost, and no pair
-of a bucket is written besides the links of a spanning forest.
+blocks, of which one is free of differences, and is added to the mask.
+
+A dense group, one around a template, say, fills the finer buckets too, and ever finer masks would multiply by four at
+each level. Its fingerprints are linked by the points around them instead: those within half the radius, rounded
+down, of a point are linked with each other, and those within the other half with the least of these. Any two
+fingerprints within the radius have such a point between them, one fingerprint has 2,081 points at radius 3, and one
+point has as many fingerprints at most, however dense the group. A radius of 5 or more has too many
+points and keeps to finer masks; at their end a mask leaves few positions free, so a bucket is bounded by their number of values.
+No link is lost, and no pair of a bucket is written besides links that hold its components together.
 
 Defined cases: a null or empty text has fingerprint zero and is linked like any other; copies of
 one text share a fingerprint and need no pairs; a null doc_id never becomes a component's id, and
@@ -40,6 +46,7 @@ from quillspark.session import stage
 RADIUS = 3
 SHINGLE = 3
 BUCKET = 256
+POINTS_RADIUS = 4
 SEED = 42
 _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
@@ -110,6 +117,23 @@ def _forest(members: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return join(a), join(b)
 
 
+def _around(distinct: DataFrame, flips: int) -> DataFrame:
+    """(fp, z) for every point z within ``flips`` bits of a fingerprint, each once: bits are flipped in rising order."""
+    points = distinct.select("fp", F.col("fp").alias("z"), F.lit(0).alias("at"))
+    for _ in range(flips):
+        points = points.select("fp", "z", F.explode(F.sequence("at", F.lit(64))).alias("bit"))  # 64: no more flips
+        flipped = F.when(F.col("bit") < 64, F.col("z").bitwiseXOR(F.expr("shiftleft(1L, bit)"))).otherwise(F.col("z"))
+        points = points.select("fp", flipped.alias("z"), F.least(F.col("bit") + 1, F.lit(64)).alias("at"))
+    return points.select("fp", "z")
+
+
+def point_links(distinct: DataFrame, radius: int) -> DataFrame:
+    """Pairs (a, b) within the radius that keep every component whole, over the points between fingerprints."""
+    least = _around(distinct, radius // 2).groupBy("z").agg(F.min("fp").alias("m"))
+    met = _around(distinct, radius - radius // 2).join(least, "z").where("fp <> m")
+    return met.select(F.col("fp").alias("a"), F.col("m").alias("b")).distinct()
+
+
 def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
     """Pairs (a, b) of distinct fingerprints within the radius that keep every component whole."""
     spark = distinct.sparkSession
@@ -124,6 +148,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
             yield pd.Series([[{"a": int(x), "b": int(y)} for x, y in zip(*_forest(np.asarray(g, np.int64), radius), strict=True)] for g in part], dtype=object)
 
     found = []
+    refined = False
     while True:
         keyed = table.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
         sizes = stage(
@@ -137,6 +162,11 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
         large = sizes.where(F.col("n") > bucket).select("mask", "key")
         if len(full) == len(masks) or large.isEmpty():
             break
+        if refined and radius <= POINTS_RADIUS:
+            dense = stage(keyed.join(large, ["mask", "key"]).select("fp").distinct(), "simhash-dense")
+            found.append(stage(point_links(dense, radius), "simhash-points"))
+            break
+        refined = True
         finer = {m: finer_masks(m, radius) for m in masks}
         masks = list(dict.fromkeys(x for xs in finer.values() for x in xs))
         steps = spark.createDataFrame([(_signed(m), [_signed(x) for x in xs]) for m, xs in finer.items()], "mask long, next array<long>")

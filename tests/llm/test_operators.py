@@ -57,7 +57,7 @@ def test_decontaminate_removal(spark, awkward, nothing):
 
 
 # 7: SimHash
-@pytest.mark.parametrize("bucket", [simhash.BUCKET, 12])
+@pytest.mark.parametrize("bucket", [simhash.BUCKET, 12, 3])
 def test_simhash(spark, awkward, bucket):
     rng, base = random.Random(2), [f"w{k}" for k in range(400)]
     near = []
@@ -88,6 +88,36 @@ def test_covering_masks():
         assert all(any(bits & f == 0 for f in simhash.finer_masks(m)) for m in masks if bits & m == 0)
 
 
+@pytest.mark.parametrize("radius", [1, 2, 3, 4])
+def test_point_links(spark, radius):
+    rng = random.Random(radius)
+    fps = {rng.getrandbits(64) for _ in range(20)} | {0, (1 << 64) - 1, 1 << 63}
+    for f in list(fps):
+        fps |= {f ^ sum(1 << i for i in rng.sample(range(64), k % 7)) for k in range(6)}
+    fps = sorted(fps)
+    signed = {simhash._signed(f): f for f in fps}
+    found = simhash.point_links(spark.createDataFrame([(f,) for f in signed], "fp long"), radius).collect()
+    pairs = [(signed[r.a], signed[r.b]) for r in found]
+    assert all(0 < (a ^ b).bit_count() <= radius for a, b in pairs)
+    root = {f: f for f in fps}
+    for a, b in pairs * len(fps):
+        root[a] = root[b] = min(root[a], root[b])
+    assert [root[f] for f in fps] == [fps[c] for c in brute.components(fps, radius)]
+
+
+def test_simhash_of_a_dense_group(spark):
+    rng = random.Random(5)
+    center = rng.getrandbits(64)
+    fps = sorted({center ^ sum(1 << i for i in rng.sample(range(64), rng.randint(0, 3))) for _ in range(20000)} | {rng.getrandbits(64) for _ in range(200)})
+    found = simhash.links(spark.createDataFrame([(simhash._signed(f),) for f in fps], "fp long"))
+    roots = {r.node: r.root for r in simhash.components(found).collect()}
+    member = brute.components(fps)
+    groups = collections.defaultdict(set)
+    for f, c in zip(fps, member, strict=True):
+        groups[c].add(roots.get(simhash._signed(f), simhash._signed(f)))
+    assert all(len(g) == 1 for g in groups.values()) and len(set.union(*groups.values())) == len(groups)
+
+
 def test_simhash_empty(nothing):
     assert simhash.near_duplicates(nothing).count() == 0 and simhash.keep_one(nothing).count() == 0
 
