@@ -42,11 +42,13 @@ from pyspark.sql import types as T
 from quillspark.llm import kernels as K
 from quillspark.llm.ship import ship
 from quillspark.session import stage
+from quillspark.sizing import BROADCAST_BYTES, Side, attach, measured_bytes
 
 RADIUS = 3
 SHINGLE = 3
 BUCKET = 256
 POINTS_RADIUS = 4
+HUB = 1024
 SEED = 42
 _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
@@ -178,19 +180,30 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
     return out.distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, hub: int = HUB, limit: int = BROADCAST_BYTES) -> DataFrame:
     """(node, root) for every node of an edge: its component's least node.
 
     Alternating large-star and small-star steps: a node links its greater neighbours to the least
     one it knows, then its smaller ones, until nothing changes. The groups are aggregates of a
-    minimum joined back to the edges, so a node with very many neighbours is no group in memory.
+    minimum joined back to the edges, so a node with very many neighbours is no group in memory. Nodes of
+    over ``hub`` edges are joined back by themselves, broadcast if they are few and else salted: their
+    edges, which may be a third of all, don't meet in a task.
     """
     edges = stage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "components")
 
     def star(pairs: DataFrame, both: bool) -> DataFrame:
         around = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))) if both else pairs
-        least = around.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        joined = around.join(least, "u")
+        least = around.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("u", "m"))
+        least = stage(least, "components-least")
+        hubs = least.where(F.col("n") > hub).select("u", F.col("m").alias("hm"))
+        size = measured_bytes(hubs)
+        least = least.select("u", "m")
+        if size:
+            marked = attach(around, Side(hubs, size), "u", "v", "left", limit)
+            rest = marked.where("hm is null").select("u", "v").join(least, "u")
+            joined = rest.unionByName(marked.where("hm is not null").select("u", "v", F.col("hm").alias("m")))
+        else:
+            joined = around.join(least, "u")
         if both:
             return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         own = least.where("m <> u").select("u", F.col("m").alias("v"))

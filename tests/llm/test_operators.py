@@ -118,6 +118,19 @@ def test_simhash_of_a_dense_group(spark):
     assert all(len(g) == 1 for g in groups.values()) and len(set.union(*groups.values())) == len(groups)
 
 
+@pytest.mark.parametrize(("hub", "limit"), [(simhash.HUB, 1 << 26), (5, 1 << 26), (0, 0)])
+def test_components_with_hubs(spark, hub, limit):
+    rng = random.Random(9)
+    edges = [(0, k) for k in range(1, 2000, 3)] + [(rng.randrange(2000), 5000) for _ in range(40)]
+    edges += [(k, k + 7) for k in range(6000, 6200, 7)] + [(rng.randrange(3000), rng.randrange(3000)) for _ in range(900)] + [(-4, -4), (-5, -(1 << 63))]
+    parent = {x: x for e in edges for x in e}
+    while any(parent[a] != parent[b] for a, b in edges):
+        for a, b in edges:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    found = simhash.components(spark.createDataFrame(edges, "a long, b long"), hub, limit)
+    assert bag(found.collect()) == bag((x, r) for x, r in parent.items() if x != r)
+
+
 def test_simhash_empty(nothing):
     assert simhash.near_duplicates(nothing).count() == 0 and simhash.keep_one(nothing).count() == 0
 
