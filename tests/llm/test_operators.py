@@ -153,6 +153,24 @@ def test_near_copies(spark, blocks):
     assert bag((r.doc_id,) for r in kept) == bag((d,) for d in least)
 
 
+def test_near_copies_of_a_large_group(spark, monkeypatch):
+    """Copies of one template are compared in a number of rows that grows with them, not with the chunks' square."""
+    rng, rows = random.Random(5), []
+    words = [f"w{k}" for k in range(300)]
+    for k in range(400):
+        changed = list(words)
+        changed[rng.randrange(300)] = f"z{k}"
+        rows.append((k, " ".join(changed)))
+    for k in range(12):  # a chain away from the template, ever less like it
+        words[25 * k : 25 * k + 8] = [f"y{k}_{j}" for j in range(8)]
+        rows.append((1000 + k, " ".join(words)))
+    sent, compare = [], near_copies.compare
+    monkeypatch.setattr(near_copies, "compare", lambda groups: sent.append(groups.count()) or compare(groups))
+    kept = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 20).collect()
+    assert bag((r.doc_id,) for r in kept) == bag((d,) for d in brute.near_copies(rows)[0])
+    assert len(sent) == 2 and sum(sent) < 3 * len(rows)  # each pair of chunks: 20 times as many
+
+
 def test_near_copies_empty(nothing):
     assert near_copies.keep_one(nothing).count() == 0
 
