@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quillspark.operators import lexicon as lx
 from quillspark.schemas import EMOTIONS
-from quillspark.sizing import attach, lookup, measured_bytes
+from quillspark.sizing import attach, frequent_words, lookup, measured_bytes, salted, written
 
 
 def brute_score(text, lexicon, stop=()):
@@ -97,3 +97,28 @@ def test_measured_bytes_follow_the_data(spark):
     large = spark.createDataFrame([("a" * 100, [1.0] * 50)], "w string, v array<double>")
     assert measured_bytes(large) - measured_bytes(small) == 99 + 49 * 8
     assert measured_bytes(small.limit(0)) == 0
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_side_over_the_bound_is_not_broadcast_for_its_small_file(spark):
+    left = spark.createDataFrame([(i, f"w{i % 5}") for i in range(40)], "id long, word string")
+    side = written(spark.createDataFrame([(f"w{i}", 0.0) for i in range(3)], "word string, v double"))
+    for joined in (lookup(left, side, "word", limit=0), attach(left, side, "word", limit=0), salted(left, side.table, "word", "id", "inner", 4)):
+        assert "SortMergeJoin" in plan(joined) and "BroadcastHashJoin" not in plan(joined)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_frequent_words_are_broadcast_and_others_shuffled(spark, how):
+    rng = random.Random(2)
+    words = [".", "the", *[f"w{i}" for i in range(300)]]
+    rows = [(i, w) for i in range(200) for w in [".", ".", "the", "the", rng.choice(words), rng.choice(words)]] + [(5, None), (205, "unseen")]
+    left = spark.createDataFrame(rows, "id long, word string")
+    side = spark.createDataFrame([(w, k) for w in words[1:150] for k in (1, 2)] + [("unseen", 9)], "word string, v int")
+    found = {r["word"] for r in frequent_words(left, side, "word", "id", 400).collect()}
+    assert {".", "the"} <= found and len(found) < 20  # "." has no row in the side table
+    assert frequent_words(left, side, "word", "id", 10) is None
+    got = [sorted(map(str, lookup(left, side, "word", how=how, limit=n).select("id", "word", "n", "v").collect())) for n in (1 << 26, 400, 0)]
+    assert got[0] == got[1] == got[2]
