@@ -122,3 +122,13 @@ def test_frequent_words_are_broadcast_and_others_shuffled(spark, how):
     assert frequent_words(left, side, "word", "id", 10) is None
     got = [sorted(map(str, lookup(left, side, "word", how=how, limit=n).select("id", "word", "n", "v").collect())) for n in (1 << 26, 400, 0)]
     assert got[0] == got[1] == got[2]
+
+
+def test_pairs_of_words_need_no_regex(spark, monkeypatch):
+    terms = {"no way": 2, "a a": 5, "a, b": 3, "way no way": 7, "wtf?": 1}
+    rows = spark.createDataFrame(list(terms.items()), "term string, score int")
+    assert {r["term"] for r in lx.keyed_phrases(rows).where("pair").collect()} == {"no way", "a, b"}
+    texts = ["no way no way no", "a a a a a, b", "no  way", "xno way", "no way no wayx", "a, b, a, b a,b", "wtf? no way"]
+    assert scores(spark, texts, terms) == scores(spark, texts, terms, limit=0) == [brute_score(t, terms) for t in texts]
+    monkeypatch.setattr(lx, "_longer_phrases", lambda *given: 1 / 0)
+    assert scores(spark, ["so no way"], {"no way": 2}) == [2]
