@@ -22,8 +22,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word similarity 0.8 or more): the one with the least doc_id."""
-    return near_copies.keep_one(docs.select(COLUMNS))
+    """One document of each group of texts linked by SimHash (3 or fewer differing bits), or by a five-word similarity of
+    0.8 or more, which SimHash mostly misses: the one with the least doc_id."""
+    return near_copies.keep_one(docs.select(COLUMNS), fingerprints=True)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

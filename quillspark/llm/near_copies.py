@@ -226,12 +226,18 @@ def _across(sets: DataFrame, large: Side, first: DataFrame, block_texts: int, bl
     return compare(placed.select("root", "g.x", "g.y", "tid", "label", "shingles"))
 
 
-def keep_one(docs: DataFrame, block_texts: int = BLOCK_TEXTS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """One document of each component of near copies, with all its columns, chosen as by ``simhash.keep_one``."""
+def keep_one(docs: DataFrame, block_texts: int = BLOCK_TEXTS, block_shingles: int = BLOCK_SHINGLES, fingerprints: bool = False) -> DataFrame:
+    """One document of each component of near copies, with all its columns, chosen as by ``simhash.keep_one``.
+
+    ``fingerprints`` adds the links of ``simhash``, so that components hold the texts linked in either way.
+    """
     named = simhash.named_texts(docs)
     bands = _with_lists(named, "bands", lambda v, n: (band_keys(v, n).ravel(), np.full(len(n), BANDS)), ["doc_id", "tid"])
     rows = stage(bands, "near-bands")
-    roots = stage(simhash.components(links(named, rows, block_texts, block_shingles)), "near-roots")
+    found = links(named, rows, block_texts, block_shingles)
+    if fingerprints:
+        found = found.unionByName(simhash.text_links(simhash.fingerprints(named, ["tid"])))
+    roots = stage(simhash.components(found), "near-roots")
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("tid").alias("t")))
     least = rows.groupBy("tid").agg(pick.alias("p"))
     chosen = least.join(roots, least["tid"] == roots["node"], "left").groupBy(F.coalesce("root", "tid").alias("root")).agg(F.min("p").alias("p")).select("p.i", "p.t")

@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from quillspark.llm import kernels as K
 from quillspark.llm.ship import ship
 from quillspark.session import stage
-from quillspark.sizing import BROADCAST_BYTES, Side, attach, measured_bytes
+from quillspark.sizing import BROADCAST_BYTES, Side, attach, measured_bytes, written
 
 RADIUS = 3
 SHINGLE = 3
@@ -242,6 +242,17 @@ def _classes(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
     return stage(named, "simhash-roots")
 
 
+def text_links(rows: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """Pairs (a, b) of text hashes ``tid`` that hold the texts of each component of fingerprints together, from rows of (tid, fp)."""
+    texts = stage(rows.select("tid", "fp").distinct(), "simhash-texts")
+    prints = texts.groupBy("fp").agg(F.min("tid").alias("a"), F.count(F.lit(1)).alias("n"))
+    named = stage(prints.join(_classes(texts, radius, bucket), "fp"), "simhash-named")
+    least = named.groupBy("root").agg(F.min("a").alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1").select("root", "m")
+    near = attach(named.select("root", "a"), written(least), "root", "a", "inner").select(F.col("m").alias("a"), F.col("a").alias("b"))
+    equal = attach(texts, written(named.where("n > 1").select("fp", "a")), "fp", "tid", "inner").select("a", F.col("tid").alias("b"))
+    return near.unionByName(equal).where("a <> b")
+
+
 def fingerprint_hex(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 

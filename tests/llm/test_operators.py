@@ -184,6 +184,30 @@ def test_pipeline_drops_near_copies(spark):
     assert [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()] == [0]
 
 
+def test_pipeline_links_by_simhash(spark):
+    """Texts within 3 bits under a similarity of 0.8, and a chain over a link of each kind."""
+    import corpus_pipeline
+
+    def found():
+        for seed in range(5000):
+            rng = random.Random(seed)
+            words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+            changed = list(words)
+            for at in rng.sample(range(300), 9):
+                changed[at] = f"z{at}"
+            a, b = " ".join(words), " ".join(changed)
+            if (brute.fingerprint(a) ^ brute.fingerprint(b)).bit_count() <= simhash.RADIUS and not brute.near_copies([(0, a), (1, b)])[1]:
+                return a, b, changed
+        raise AssertionError("no such texts")
+
+    a, b, words = found()
+    third = " ".join([*words[:-1], "last"])  # near the second by its words
+    rows = [(1, a), (2, b), (3, third), (4, "quite another text of some words"), (5, None), (6, "")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == [1, 4, 5]
+
+
 # 6: repeated byte strings
 @pytest.mark.parametrize(("seeds", "hot"), [(suffix_dedup.SEEDS, suffix_dedup.HOT), ((24, 60, 95), 1)])
 def test_suffix_dedup(spark, awkward, seeds, hot):
