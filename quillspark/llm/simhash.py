@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from quillspark.llm import kernels as K
 from quillspark.llm.ship import ship
-from quillspark.session import stage
+from quillspark.session import narrowed, stage
 from quillspark.sizing import BROADCAST_BYTES, Side, attach, measured_bytes, written
 
 RADIUS = 3
@@ -49,6 +49,7 @@ SHINGLE = 3
 BUCKET = 256
 POINTS_RADIUS = 4
 HUB = 1024
+LEAST_BYTES = 48  # of a node and its least neighbour, as ``sizing`` measures them
 SEED = 42
 _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
@@ -137,7 +138,7 @@ def point_links(distinct: DataFrame, radius: int) -> DataFrame:
 
 
 def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """Pairs (a, b) of distinct fingerprints within the radius that keep every component whole."""
+    """Pairs (a, b) of distinct fingerprints within the radius that keep every component whole; some may repeat."""
     spark = distinct.sparkSession
     ship(spark)
     masks = covering_masks(radius)
@@ -158,11 +159,12 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
         )
         found.append(sizes.where((F.col("n") == 2) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).select("a", "b"))
         full = [m for m in masks if 1 << (64 - m.bit_count()) <= bucket]  # no bucket of these can be larger
+        members, fuller = sizes.agg(F.sum(F.when(F.col("n").between(3, bucket), F.col("n"))), F.count_if(F.col("n") > bucket)).first()
         small = keyed.join(sizes.where(F.col("n").between(3, bucket)).select("mask", "key"), ["mask", "key"])
-        groups = small.groupBy("mask", "key").agg(F.collect_list("fp").alias("fps"))  # at most ``bucket`` long
+        groups = narrowed(small.groupBy("mask", "key").agg(F.collect_list("fp").alias("fps")), members or 0)  # at most ``bucket`` long
         found.append(groups.select(F.explode(forest("fps")).alias("p")).select("p.a", "p.b"))
         large = sizes.where(F.col("n") > bucket).select("mask", "key")
-        if len(full) == len(masks) or large.isEmpty():
+        if len(full) == len(masks) or not fuller:
             break
         if refined and radius <= POINTS_RADIUS:
             dense = stage(keyed.join(large, ["mask", "key"]).select("fp").distinct(), "simhash-dense")
@@ -177,7 +179,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out.distinct()
+    return out
 
 
 def components(edges: DataFrame, hub: int = HUB, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -191,19 +193,23 @@ def components(edges: DataFrame, hub: int = HUB, limit: int = BROADCAST_BYTES) -
     """
     edges = stage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "components")
 
-    def star(pairs: DataFrame, both: bool) -> DataFrame:
+    def star(pairs: DataFrame, both: bool, rows: int) -> DataFrame:
         around = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))) if both else pairs
         least = around.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("u", "m"))
-        least = stage(least, "components-least")
-        hubs = least.where(F.col("n") > hub).select("u", F.col("m").alias("hm"))
-        size = measured_bytes(hubs)
-        least = least.select("u", "m")
-        if size:
-            marked = attach(around, Side(hubs, size), "u", "v", "left", limit)
-            rest = marked.where("hm is null").select("u", "v").join(least, "u")
-            joined = rest.unionByName(marked.where("hm is not null").select("u", "v", F.col("hm").alias("m")))
+        if 2 * rows * LEAST_BYTES <= limit // 4:  # all nodes are broadcast, so edges stay where they are
+            least = narrowed(least, 2 * rows).select("u", "m")
+            joined = around.join(F.broadcast(least), "u")
         else:
-            joined = around.join(least, "u")
+            least = stage(narrowed(least, 2 * rows), "components-least")
+            hubs = least.where(F.col("n") > hub).select("u", F.col("m").alias("hm"))
+            size = measured_bytes(hubs)
+            least = least.select("u", "m")
+            if size:
+                marked = attach(around, Side(hubs, size), "u", "v", "left", limit)
+                rest = marked.where("hm is null").select("u", "v").join(least, "u")
+                joined = rest.unionByName(marked.where("hm is not null").select("u", "v", F.col("hm").alias("m")))
+            else:
+                joined = around.join(least, "u")
         if both:
             return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         own = least.where("m <> u").select("u", F.col("m").alias("v"))
@@ -214,9 +220,10 @@ def components(edges: DataFrame, hub: int = HUB, limit: int = BROADCAST_BYTES) -
         return r[0], r[1]
 
     before = mark(edges)
-    while True:
-        large = star(edges, True).where("u <> v").distinct()
-        edges = stage(star(large, False).where("u <> v").distinct(), "components")
+    while before[0]:
+        # a step makes one edge at most of each it is given, and one of each node
+        large = stage(narrowed(star(edges, True, before[0]).where("u <> v").distinct(), before[0]), "components-large")
+        edges = stage(narrowed(star(large, False, before[0]).where("u <> v").distinct(), 2 * before[0]), "components")
         now = mark(edges)
         if now == before:
             break
@@ -227,16 +234,17 @@ def components(edges: DataFrame, hub: int = HUB, limit: int = BROADCAST_BYTES) -
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
     """doc_id, fp and component_id (least doc_id reachable by links) of every document."""
     rows = stage(fingerprints(docs, ["doc_id"], shingle), "simhash")
-    least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    named = least.join(_classes(rows, radius, bucket), "fp")
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = stage(named.join(ids, "root").select("fp", "component_id"), "simhash-classes")
+    least = stage(narrowed(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), rows.count()), "simhash-distinct")
+    n = least.count()
+    named = narrowed(least.join(_classes(least, radius, bucket), "fp"), n)
+    ids = narrowed(named.groupBy("root").agg(F.min("least").alias("component_id")), n)
+    classes = stage(narrowed(named.join(ids, "root").select("fp", "component_id"), n), "simhash-classes")
     return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def _classes(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
-    """(fp, root) of every fingerprint: the least fingerprint of its component."""
-    distinct = stage(rows.select("fp").distinct(), "simhash-distinct")
+def _classes(distinct: DataFrame, radius: int, bucket: int) -> DataFrame:
+    """(fp, root) of every fingerprint, of a written table that has each once: the least fingerprint of its component."""
+    distinct = distinct.select("fp")
     roots = components(links(distinct, radius, bucket))
     named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
     return stage(named, "simhash-roots")
@@ -246,7 +254,8 @@ def text_links(rows: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> D
     """Pairs (a, b) of text hashes ``tid`` that hold the texts of each component of fingerprints together, from rows of (tid, fp)."""
     texts = stage(rows.select("tid", "fp").distinct(), "simhash-texts")
     prints = texts.groupBy("fp").agg(F.min("tid").alias("a"), F.count(F.lit(1)).alias("n"))
-    named = stage(prints.join(_classes(texts, radius, bucket), "fp"), "simhash-named")
+    prints = stage(narrowed(prints, texts.count()), "simhash-distinct")
+    named = stage(prints.join(_classes(prints, radius, bucket), "fp"), "simhash-named")
     least = named.groupBy("root").agg(F.min("a").alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1").select("root", "m")
     near = attach(named.select("root", "a"), written(least), "root", "a", "inner").select(F.col("m").alias("a"), F.col("a").alias("b"))
     equal = attach(texts, written(named.where("n > 1").select("fp", "a")), "fp", "tid", "inner").select("a", F.col("tid").alias("b"))
@@ -265,7 +274,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, buck
     """
     named = named_texts(docs)
     rows = stage(fingerprints(named, ["doc_id", "tid"], shingle), "simhash")
-    classes = _classes(rows, radius, bucket)
+    classes = _classes(stage(narrowed(rows.select("fp").distinct(), rows.count()), "simhash-distinct"), radius, bucket)
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("tid").alias("t"), F.col("fp").alias("f")))
     chosen = rows.groupBy("fp").agg(pick.alias("p")).join(classes, "fp").groupBy("root").agg(F.min("p").alias("p")).select("p.i", "p.t")
     return chosen_rows(docs, named, stage(chosen, "simhash-chosen"))

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Short rows of a few numbers for one task of an iteration.
+ROWS_PER_TASK = 8192
 _local_scratch: tempfile.TemporaryDirectory | None = None
 
 
@@ -63,6 +65,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def narrowed(df: DataFrame, rows: int) -> DataFrame:
+    """Merge the partitions of ``df``, which has ``rows`` rows at most, so that a small table isn't dealt over many tiny tasks.
+
+    A large table keeps its partitions. Adaptive execution does the same where it may; iterations can't rely on it.
+    """
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Deal the rows of a file scan out to all cores when it has fewer splits than cores.
 

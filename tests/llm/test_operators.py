@@ -10,6 +10,7 @@ from conftest import awkward_rows
 
 from quillspark.llm import decontaminate, line_dedup, mixing, near_copies, packing, quality_rules, quality_trees, simhash, statistics, suffix_dedup, tool_chat, toxicity
 from quillspark.llm.common import held_out, labelled_sample, read
+from quillspark.session import stage
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -131,6 +132,43 @@ def test_components_with_hubs(spark, hub, limit):
     assert bag(found.collect()) == bag((x, r) for x, r in parent.items() if x != r)
 
 
+def test_small_components_make_few_tasks(spark, monkeypatch):
+    """A small graph is contracted in few tasks, however many partitions shuffles have and adaptive execution keeps."""
+    files = []
+
+    def counted(df, label):
+        table = stage(df, label)
+        files.append(len(table.inputFiles()))
+        return table
+
+    monkeypatch.setattr(simhash, "stage", counted)
+    conf = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    edges = spark.createDataFrame([(k, k + 1) for k in range(0, 6000, 3)] + [(0, 3 * k) for k in range(5, 900)], "a long, b long")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        found = {r.node: r.root for r in simhash.components(edges).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    root = lambda k: 0 if k == 0 or 5 <= k // 3 < 900 else k
+    assert found == {x: root(k) for k in range(0, 6000, 3) for x in (k, k + 1) if x != root(k)}
+    assert len(files) > 2 and files[0] > 20 and max(files[1:]) <= 2  # but the first, of the given edges
+
+
+@pytest.mark.parametrize("limit", [1 << 18, 1 << 15, 0])
+def test_components_by_broadcast_of_nodes_or_hubs(spark, limit):
+    rng = random.Random(10)
+    edges = [(7, k) for k in range(300)] + [(rng.randrange(400), rng.randrange(400)) for _ in range(60)] + [(k, k + 1) for k in range(500, 560)]
+    parent = {x: x for e in edges for x in e}
+    while any(parent[a] != parent[b] for a, b in edges):
+        for a, b in edges:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    found = simhash.components(spark.createDataFrame(edges, "a long, b long"), 5, limit)
+    assert bag(found.collect()) == bag((x, r) for x, r in parent.items() if x != r)
+
+
 def test_simhash_empty(nothing):
     assert simhash.near_duplicates(nothing).count() == 0 and simhash.keep_one(nothing).count() == 0
 
