@@ -4,12 +4,13 @@ A word outside the dictionary becomes the most frequent dictionary word one edit
 away, else two edits away, else stays. An edit deletes, swaps two neighbours,
 replaces or inserts one letter, of any alphabet.
 
-Only *distinct* unknown tokens are looked at, and words meet in equi-joins on keys.
-One edit: two words share a key exactly if they are one edit apart. Two edits: both
-words are taken one edit towards each other. A letter that an edit brings in
-is a blank, since the other word names it, so no alphabet is needed. The
-dictionary side is reduced to the best word per key before the join, so a key
-meets at most one row however many words share it: no list of pairs is
+Only *distinct* unknown tokens are looked at, and words meet in equi-joins on keys. There are
+far more of them than dictionary words, so they have few keys: the word less no, one or two of its letters, with
+the places of these. A dictionary word has the others: itself less letters that the
+unknown word gains, with letters swapped, and less letters that are replaced, along with the places
+that make a shared key an edit. No alphabet is needed. The
+dictionary side is reduced to the best word per key and places before the join, so a key
+meets as many rows as a word has places at most, however many words share it: no list of pairs is
 ever built and none is left out. Keys are compared by 128-bit hashes.
 """
 
@@ -24,7 +25,6 @@ from quillspark.sizing import BROADCAST_BYTES, attach
 
 WORDS_PER_TASK = 5000
 KEY_BYTES = 64  # of a key in a hash table
-OPEN = "\x00"
 
 
 def build_dictionary(words: DataFrame, min_count: int) -> DataFrame:
@@ -64,55 +64,80 @@ def swaps(word: Column) -> Column:
     return F.transform(_positions(0, F.length(word) - 1), swapped)
 
 
-def _put(word: Column, filler: Column, skip: int) -> Column:
-    """Strings with one of ``filler`` put at each position, over ``skip`` characters."""
-    return F.flatten(
-        F.transform(
-            _positions(0, F.length(word) + 1 - skip),
-            lambda i: F.transform(filler, lambda c: F.concat(_head(word, i), c, _tail(word, i + skip))),
-        )
-    )
+def _without(word: Column, i: Column) -> Column:
+    return F.concat(_head(word, i), _tail(word, i + 1))
+
 
+def _key(size: int, text: Column, i: Column | int = -1, j: Column | int = -1) -> Column:
+    """Key of ``text``, the unknown word less ``size`` letters, with the places ``i`` and ``j`` that belong to it."""
+    place = [F.lit(x) if isinstance(x, int) else x for x in (i, j)]
+    return F.struct(F.concat(F.lit(str(size)), text).alias("key"), place[0].alias("i"), place[1].alias("j"))
 
-def _keys(word: Column, unknown: bool) -> Column:
-    """Keys that two words share exactly if one edit turns the first into the second.
 
-    ``=`` the unknown word loses or swaps letters to give the known one, ``+`` it is the
-    known one less a letter, ``?`` the two differ in the one letter left blank.
+def _unknown_keys(table: DataFrame, held: str, edits: int) -> DataFrame:
+    """(``held``, key, i, j): the words of column ``word`` less up to ``edits`` letters, and the places of these.
+
+    A word less one letter is a row of its own before it loses the second, so no row grows with the square of a word.
     """
-    blanked = _put(word, F.array(F.lit(OPEN)), 1)
-    exact = F.concat(deletions(word), swaps(word)) if unknown else F.array(word)
-    longer = F.array(word) if unknown else deletions(word)
-    return F.array_distinct(
-        F.concat(
-            F.transform(exact, lambda x: F.concat(F.lit("="), x)),
-            F.transform(longer, lambda x: F.concat(F.lit("+"), x)),
-            F.transform(blanked, lambda x: F.concat(F.lit("?"), x)),
-        )
+    word = F.col("word")
+    shorter = F.transform(
+        _positions(0, F.length(word)), lambda i: F.struct(i.alias("p"), _without(word, i).alias("m"))
+    )
+    whole = F.array(F.struct(F.lit(-1).alias("p"), word.alias("m")))
+    steps = table.select(held, F.explode(F.concat(whole, shorter)).alias("s")).select(held, "s.p", "s.m")
+    p, m = F.col("p"), F.col("m")
+    keys = F.array(_key(1, m, p, p + 1))
+    if edits == 2:
+        keys = F.concat(keys, F.transform(_positions(p, F.length(m)), lambda q: _key(2, _without(m, q), p, q + 1)))
+    keys = F.when(p < 0, F.array(_key(0, m))).otherwise(keys)
+    return steps.select(held, F.inline(keys))
+
+
+def _known_near_keys(table: DataFrame, held: str) -> DataFrame:
+    """(``held``, key, i, j): keys of dictionary words that an unknown word one edit away has too."""
+    word = F.col("word")
+    keys = F.concat(
+        F.transform(F.concat(deletions(word), swaps(word)), lambda x: _key(0, x)),
+        F.array(_key(1, word)),
+        F.transform(_positions(0, F.length(word)), lambda p: _key(1, _without(word, p), p)),
     )
+    return table.select(held, F.inline(keys))
 
 
-def _far_keys(table: DataFrame, held: str, unknown: bool) -> DataFrame:
-    """(key, ``held``): keys that two words of column ``word`` share exactly if two edits part them.
+def _known_far_keys(table: DataFrame, held: str) -> DataFrame:
+    """(``held``, key, i, j): keys of dictionary words that an unknown word two edits away has too.
 
-    The words meet in a string one edit from each. It is ``0`` complete on both sides, ``1`` open at a
-    letter that the unknown word gets, ``2`` at one that the known word gets, ``3`` at one of each.
-    Strings one edit away are rows of their own before the second blank, so no row grows with
-    the square of a word.
+    Insertions and swaps are undone here, and can be so last. The unknown word then lacks no letter, one that it loses
+    or replaces, or two. A replaced letter is missing here too, at the same place; one that is lost has no place.
     """
-    word, blank = F.col("word"), F.array(F.lit(OPEN))
-    complete = F.array_distinct(F.concat(deletions(word), swaps(word)))
-    opened = F.concat(_put(word, blank, 1), _put(word, blank, 0))
-    near = F.concat(
-        F.transform(complete, lambda m: F.struct(F.lit(False).alias("open"), m.alias("m"))),
-        F.transform(opened, lambda m: F.struct(F.lit(True).alias("open"), m.alias("m"))),
+    word = F.col("word")
+    steps = F.concat(
+        F.array(F.struct(F.lit("w").alias("kind"), F.lit(-1).alias("p"), word.alias("m"))),
+        F.transform(
+            _positions(0, F.length(word)),
+            lambda p: F.struct(F.lit("d").alias("kind"), p.alias("p"), _without(word, p).alias("m")),
+        ),
+        F.transform(swaps(word), lambda m: F.struct(F.lit("s").alias("kind"), F.lit(0).alias("p"), m.alias("m"))),
     )
-    steps = table.select(held, F.explode(near).alias("s")).select(held, "s.open", "s.m")
-    own, other = ("1", "2") if unknown else ("2", "1")
-    first = F.concat(F.when(F.col("open"), own).otherwise("0"), F.col("m"))
-    second = F.when(F.col("open"), "3").otherwise(other)
-    more = F.transform(_put(F.col("m"), blank, 1), lambda x: F.concat(second, x))
-    return steps.select(held, F.explode(F.concat(F.array(first), more)).alias("key"))
+    rows = table.select(held, F.explode(steps).alias("s")).select(held, "s.kind", "s.p", "s.m")
+    p, m = F.col("p"), F.col("m")
+    swapped = F.transform(swaps(m), lambda x: _key(0, x))
+    later = F.transform(  # the letter at q goes second, which was at q + 1 if one before it is gone
+        _positions(p, F.length(m)), lambda q: F.struct(q.alias("q"), _without(m, q).alias("x"))
+    )
+    shorter = F.concat(
+        F.array(_key(1, m), _key(2, m, p)),
+        swapped,
+        F.flatten(
+            F.transform(
+                later,
+                lambda s: F.array(_key(0, s.x), _key(1, s.x, s.q), _key(1, s.x, p), _key(2, s.x, p, s.q + 1)),
+            )
+        ),
+    )
+    turned = F.concat(F.array(_key(1, m)), swapped, F.transform(later, lambda s: _key(1, s.x, s.q)))
+    keys = F.when(F.col("kind") == "w", F.array(_key(2, m))).when(F.col("kind") == "d", shorter).otherwise(turned)
+    return rows.select(held, F.inline(keys))
 
 
 def unknown_tokens(tokens: DataFrame, dictionary: DataFrame, min_length: int = 1) -> DataFrame:
@@ -145,36 +170,39 @@ def _fanned(words: DataFrame) -> DataFrame:
 
 
 def _hashed(keys: DataFrame, held: str) -> DataFrame:
-    """(``held``, k1, k2): keys as two 64-bit hashes of other seeds, so that rows are short numbers to shuffle and sort."""
-    return keys.select(held, F.xxhash64("key").alias("k1"), F.xxhash64(F.lit(17), "key").alias("k2"))
+    """(``held``, k1, k2, i, j): keys as two 64-bit hashes of other seeds, so that rows are short numbers to shuffle and sort."""
+    return keys.select(held, F.xxhash64("key").alias("k1"), F.xxhash64(F.lit(17), "key").alias("k2"), "i", "j")
 
 
 def _best(keys: DataFrame, targets: DataFrame) -> DataFrame:
-    """(uid, rank): the best dictionary word that shares a key, from (uid, key) and (rank, key).
+    """(uid, rank): the best dictionary word in reach, from (uid, key, i, j) and (rank, key, i, j).
 
-    The dictionary's keys are written and counted. They are broadcast, or hashed in each partition, where their size
-    allows it, since sorting the many keys of the unknown words costs more than making them.
+    A place of a dictionary word is -1 where any will do; a single one is that of either letter, the first being gone if it is
+    that of the second. The dictionary's keys are written and counted. They are broadcast, or hashed in each partition, where
+    their size allows it, since sorting the many keys of the unknown words costs more than making them.
     """
-    reach = stage(_hashed(targets, "rank").groupBy("k1", "k2").agg(F.min("rank").alias("rank")), "reach")
+    places = _hashed(targets, "rank").withColumnsRenamed({"i": "at", "j": "also"})
+    reach = stage(places.groupBy("k1", "k2", "at", "also").agg(F.min("rank").alias("rank")), "reach")
     size = reach.count() * KEY_BYTES
     if size <= BROADCAST_BYTES:
         reach = F.broadcast(reach)
     elif size <= BROADCAST_BYTES * int(reach.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         reach = reach.hint("shuffle_hash")
-    return _hashed(keys, "uid").join(reach, ["k1", "k2"]).groupBy("uid").agg(F.min("rank").alias("rank"))
+    single = (F.col("also") == -1) & F.col("at").isin(F.lit(-1), F.col("i"), F.col("j") - 1)
+    both = (F.col("at") == F.col("i")) & (F.col("also") == F.col("j"))
+    mine, theirs = _hashed(keys, "uid").alias("mine"), reach.alias("theirs")
+    same = (F.col("mine.k1") == F.col("theirs.k1")) & (F.col("mine.k2") == F.col("theirs.k2"))
+    return mine.join(theirs, same & (single | both)).groupBy("uid").agg(F.min("rank").alias("rank"))
 
 
 def candidates(unknown: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(word, tier, candidate, freq) for the unknown words with a dictionary word in reach;
     two edits are tried only where one edit finds nothing."""
-    word = F.col("word")
     numbered = unknown.select("word").withColumn("uid", F.monotonically_increasing_id())
     ranked, unknown = _ranked(dictionary), stage(numbered, "unknown")
-    near_keys = _fanned(unknown).select("uid", F.explode(_keys(word, True)).alias("key"))
-    near_targets = _fanned(ranked).select("rank", F.explode(_keys(word, False)).alias("key"))
-    near = stage(_best(near_keys, near_targets), "near")
+    near = stage(_best(_unknown_keys(_fanned(unknown), "uid", 1), _known_near_keys(_fanned(ranked), "rank")), "near")
     rest = stage(unknown.join(near, "uid", "left_anti"), "rest")
-    far = _best(_far_keys(_fanned(rest), "uid", True), _far_keys(_fanned(ranked), "rank", False))
+    far = _best(_unknown_keys(_fanned(rest), "uid", 2), _known_far_keys(_fanned(ranked), "rank"))
     found = near.withColumn("tier", F.lit(1)).unionByName(far.withColumn("tier", F.lit(2)))
     named = ranked.select("rank", F.col("word").alias("candidate"), "freq")
     return found.join(named, "rank").join(unknown, "uid").select("word", "tier", "candidate", "freq")

@@ -68,3 +68,21 @@ def test_one_letter_tokens_by_parameter(spark):
     texts = spark.createDataFrame([(1, "u r 7")], "id long, cleaned_text string")
     assert sp.correct_texts(texts, dictionary).first()["cleaned_text"] == "you are 7"
     assert sp.correct_texts(texts, dictionary, min_length=2).first()["cleaned_text"] == "u r 7"
+
+
+def test_few_keys_for_an_unknown_word(spark):
+    """An unknown word of n letters has a key for each two letters it may lack, where it had one for each two edits, 4n * n."""
+    words = spark.createDataFrame([(1, "abcdefghijkl"), (2, "")], "uid long, word string")
+    keys = {r["uid"]: r["count"] for r in sp._unknown_keys(words, "uid", 2).groupBy("uid").count().collect()}
+    assert keys == {1: 1 + 12 + 66, 2: 1}
+
+
+def test_repeated_letters_equal_brute_force(spark):
+    rng = random.Random(11)
+    freq = {"".join(rng.choice("ab") for _ in range(rng.randint(3, 9))): rng.randint(1, 3) for _ in range(25)}
+    unknown = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 11))) for _ in range(150)} - set(freq)
+    dictionary = spark.createDataFrame(list(freq.items()), "word string, freq long")
+    words = spark.createDataFrame([(w,) for w in unknown], "word string")
+    got = {r["word"]: r["correction"] for r in sp.corrections(words, dictionary).collect()}
+    want = {w: brute(w, freq) for w in unknown}
+    assert got == {w: c for w, c in want.items() if c is not None}
