@@ -1,3 +1,4 @@
+import itertools
 import random
 import string
 
@@ -86,3 +87,25 @@ def test_repeated_letters_equal_brute_force(spark):
     got = {r["word"]: r["correction"] for r in sp.corrections(words, dictionary).collect()}
     want = {w: brute(w, freq) for w in unknown}
     assert got == {w: c for w, c in want.items() if c is not None}
+
+
+def test_fixes_of_a_text_are_dealt_over_maps(spark):
+    """A token meets the few fixes of its slot, not all of its text's."""
+    names = ["".join(p) for p in itertools.product("bcdfg", "aeiou", "klmnp", "aeiou")]
+    dictionary = spark.createDataFrame([(f"{w}{w}", 2) for w in names], "word string, freq long")
+    wrong = [f"{w}{w}x" for w in names]
+    texts = spark.createDataFrame([(1, " ".join(wrong * 2)), (2, "good"), (3, f"a {wrong[5]}")], "id long, cleaned_text string")
+    got = {r["id"]: r["cleaned_text"] for r in sp.correct_texts(texts, dictionary).collect()}
+    assert got == {1: " ".join([f"{w}{w}" for w in names] * 2), 2: "good", 3: f"a {names[5] * 2}"}
+    fixes = spark.createDataFrame([([(w, w) for w in wrong],)], "fixes array<struct<word: string, correction: string>>")
+    sizes = [len(m) for m in fixes.select(sp._slots(fixes["fixes"])).first()[0]]
+    assert sum(sizes) == len(wrong) and max(sizes) < 4 * sp.SLOT_FIXES
+
+
+def test_dictionary_keys_are_shuffled_once(spark):
+    """Beyond the broadcast bound the keys are reduced and joined in one partitioning."""
+    words = spark.createDataFrame([(1, "abcdef")], "uid long, word string")
+    known = spark.createDataFrame([(1, "abcxyf")], "rank long, word string")
+    best = sp._best(sp._unknown_keys(words, "uid", 2), sp._known_far_keys(known, "rank"), 2**30)
+    plan = best._jdf.queryExecution().sparkPlan().toString()
+    assert [tuple(r) for r in best.collect()] == [(1, 1)] and "parquet" not in plan.lower()
