@@ -1,3 +1,7 @@
+import random
+import re
+import sys
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -124,3 +128,42 @@ def test_clean_matches_plain_python(spark, texts):
 def test_clean_handles_null_and_keeps_other_columns(spark):
     row = clean(spark.createDataFrame([(1, None, 5)], "id long, text string, k int")).first()
     assert (row["raw_text"], row["cleaned_text"], row["k"]) == (None, "", 5)
+
+
+def test_common_characters_are_settled_by_the_first_range():
+    picto, plain = re.compile(f"[{python_class(tx.PICTOGRAPH)}]"), python_class(tx.NO_PICTOGRAPH)
+    plain = re.compile(f"[{plain.replace('[', '').replace(']', '')}]")
+    codes = [c for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    assert all(bool(picto.match(chr(c))) != bool(plain.match(chr(c))) for c in codes)
+    assert tx.NO_PICTOGRAPH.startswith(r"[\x{0}-\x{a8}[")
+
+
+def python_class(java: str) -> str:
+    return re.sub(r"\\x\{(\w+)\}", lambda m: f"\\U{int(m[1], 16):08x}", java)
+
+
+#: The patterns of the steps before they were made faster: (form now, function of a text with the former pattern).
+FORMER = {
+    "squash": (tx.squash, lambda t: F.trim(F.regexp_replace(t, f"[{tx.ODD_BLANK}][{tx.BLANK}]*| [{tx.BLANK}]+", " "))),
+    "single_blanks": (tx.single_blanks, lambda t: F.trim(F.regexp_replace(t, "  +", " "))),
+    "hashtags": (tx.hashtags, lambda t: F.regexp_extract_all(t, F.lit("(?:^| )(#[^ ]*)"), 1)),
+    "user_names": (tx.user_names, lambda t: F.regexp_extract_all(t, F.lit("(?:^| )(@[^ ]*)"), 1)),
+    "urls_and_hashtags": (tx.without_urls_and_hashtags, lambda t: F.trim(F.regexp_replace(t, "(?:^| )(?:http|#)[^ ]*", ""))),
+    "user_token": (tx.with_user_token, lambda t: F.regexp_replace(t, "(^| )@[^ ]*", "$1user")),
+    "word_tokens": (tx.word_tokens, lambda t: F.regexp_extract_all(t, F.lit(f"[{tx.WORD}]+|[^{tx.WORD}{tx.BLANK}]"), 0)),
+}
+
+
+def test_faster_patterns_give_the_same(spark):
+    rng = random.Random(3)
+    pieces = ["a", "é", "#", "@", "http", "h", " ", " ", "  ", "\n", "\t", "\x85", "\u3000", "\u200d", "\ufe0f", "語", "🙂", "©", "!", "_", ":", "1\ufe0f\u20e3", "🇫🇷"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    same = [now(F.col("t")).eqNullSafe(former(F.col("t"))).alias(name) for name, (now, former) in FORMER.items()]
+    counts = rows.select(same).agg(*[F.count_if(F.col(name)).alias(name) for name in FORMER]).first().asDict()
+    assert counts == {name: len(texts) + 1 for name in FORMER}
+
+
+def test_cleaning_looks_at_few_classes_for_common_characters(spark):
+    shown = clean(spark.createDataFrame([(1, "a")], "id long, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(CASE" not in shown and "(?![!-~]| [!-~])" in shown and "|[^" + tx.PICTOGRAPH not in shown
