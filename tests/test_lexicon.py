@@ -132,3 +132,14 @@ def test_pairs_of_words_need_no_regex(spark, monkeypatch):
     assert scores(spark, texts, terms) == scores(spark, texts, terms, limit=0) == [brute_score(t, terms) for t in texts]
     monkeypatch.setattr(lx, "_longer_phrases", lambda *given: 1 / 0)
     assert scores(spark, ["so no way"], {"no way": 2}) == [2]
+
+
+def test_twins_are_counted_without_a_regex_for_each_text(spark, monkeypatch):
+    rng = random.Random(7)
+    pieces = ["a", "a", "a", "ab", "b", "é", "x_1"]
+    texts = ["".join(rng.choice(pieces) + rng.choice([" ", " ", " ", ", ", "-", ""]) for _ in range(rng.randint(0, 15))) for _ in range(300)]
+    texts += ["a a " * 5000, "a a a-a-a a", "a-a a", "ab a a ab", "a a a b"]
+    terms = {"a a": 1, "a, a": 10, "a-a": 100, "b b": 1000, "é é": 7, "x_1 x_1": 3, "ab ab": 5}
+    monkeypatch.setattr(lx, "_longer_phrases", lambda *given: 1 / 0)
+    expected = [brute_score(t, terms) for t in texts]
+    assert scores(spark, texts, terms) == scores(spark, texts, terms, limit=0) == expected and expected[300] == 5000
