@@ -532,7 +532,8 @@ def _all_features(spark: SparkSession, sf: str, language: str, fit_splits: bool)
     model = fit_features(train, resources(spark, sf, language), language)
     target = train if fit_splits else cleaned.where("split <> 'train'")
     names = [f"`{c}`" for c in default_features(language)]
-    return model.transform(target).select("id", *names, "Aggregate_embeddings", *LABELS)
+    attached = [*model.resources.document_vectors, *(["translated_text"] if language == "spanish" else [])]
+    return model.transform(target).select("id", *names, *attached, "Aggregate_embeddings", *LABELS)
 
 
 @query
