@@ -1,7 +1,11 @@
-"""The feature tables hold every column that their model attaches."""
+"""The feature tables hold every column that their model attaches, and the forest has all its trees."""
+
+import random
 
 import pytest
 
+from quillspark.operators import models as md
+from quillspark.plans import queries as q
 from quillspark.plans.queries import QUERIES
 
 
@@ -35,3 +39,16 @@ def test_document_vectors_and_translations(spark, folder):
     rows = {r["id"]: r for r in QUERIES["features_train_es"](spark, folder).collect()}
     assert {i: r["Document_embeddings"] for i, r in rows.items()} == {4: vector(4), 14: None}
     assert rows[4]["translated_text"].startswith("BALAROS ") and rows[14]["translated_text"] == ""
+
+
+def test_forest_is_whole(spark, monkeypatch):
+    rng, fitted = random.Random(4), []
+    rows = [(i, "train", *([i % 2] * 3), *[rng.random() for _ in q.PLAIN_FEATURES], [rng.random()]) for i in range(60)]
+    columns = ["id", "split", *q.LABELS, *q.PLAIN_FEATURES, *q.EMBEDDINGS]
+    monkeypatch.setattr(q, "_plain_features", lambda spark, sf: spark.createDataFrame(rows, columns))
+    fit = md.fit_model
+    monkeypatch.setattr(md, "fit_model", lambda df, spec: fitted.append(fit(df, spec)) or fitted[-1])
+    assert QUERIES["rf_together"](spark, "").count() == 60
+    forest = fitted[0].stages["Target"].stages[0]
+    assert forest.getNumTrees == 1000 and forest.getOrDefault("maxDepth") == md.MAX_DEPTH
+    assert forest.getOrDefault("subsamplingRate") == 0.7 and forest.getOrDefault("minInstancesPerNode") == 3
